@@ -15,7 +15,7 @@ from tallyshelf.functions.text import key_text, plain_text, title_text
 from tallyshelf.operators.dedup import distinct_rows, one_per_key
 from tallyshelf.operators.filters import has_keys, inside, not_negative, positive, zero_fill
 from tallyshelf.operators.reports import require_values
-from tallyshelf.session import sized_shuffles
+from tallyshelf.session import sized_tasks
 from tallyshelf.sinks.tables import save_table
 
 
@@ -87,7 +87,7 @@ def save_clean_tables(
 ) -> dict[str, DataFrame]:
     """Clean the typed feeds and save them; returns the saved tables by name."""
     require_values(sales, fixed.SALES_KEYS + fixed.SALES_MEASURES)
-    with sized_shuffles(spark, sales):
+    with sized_tasks(spark, sales):
         return {
             tables.products: save_table(clean_products(products), tables.products),
             tables.stores: save_table(clean_stores(stores), tables.stores),

@@ -10,7 +10,7 @@ from tallyshelf import fixed_values as fixed
 from tallyshelf.functions import labels, money
 from tallyshelf.operators.joins import BROADCAST_BYTES, broadcast_if_small, join_sources
 from tallyshelf.plans.clean import CleanTables
-from tallyshelf.session import sized_shuffles
+from tallyshelf.session import sized_tasks
 from tallyshelf.sinks.tables import save_table
 
 
@@ -56,5 +56,5 @@ def save_overview(
     stores = spark.table(clean.stores)
     products = broadcast_if_small(products.select(*[c for c in products.columns if c in kept]), broadcast_bytes)
     stores = broadcast_if_small(stores.select(*[c for c in stores.columns if c in kept]), broadcast_bytes)
-    with sized_shuffles(spark, sales):
+    with sized_tasks(spark, sales):
         return save_table(retail_sales_overview(sales, products, stores), table, partition_by)

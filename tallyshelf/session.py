@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 SHUFFLE_SETTING = "spark.sql.shuffle.partitions"
+SCAN_SETTING = "spark.sql.files.maxPartitionBytes"
 
-# Bytes of input one shuffle task should handle, and the most tasks one shuffle should have.
+# Bytes of input one shuffle task should handle, and the most tasks one stage should have: the
+# driver keeps track of scan tasks times shuffle tasks.
 SHUFFLE_TASK_BYTES = 512 * 1024 * 1024
-MAX_SHUFFLE_TASKS = 100_000
+MAX_STAGE_TASKS = 50_000
 
 
 def get_spark_session(
@@ -87,18 +89,27 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def task_sizes(input_bytes: int, shuffle_partitions: int, scan_bytes: int) -> tuple[int, int]:
+    """Shuffle partitions and bytes per scan task for an input, at least the given ones."""
+    wanted = min(input_bytes // SHUFFLE_TASK_BYTES + 1, MAX_STAGE_TASKS)
+    return max(shuffle_partitions, wanted), max(scan_bytes, input_bytes // MAX_STAGE_TASKS)
+
+
 @contextmanager
-def sized_shuffles(spark: SparkSession, *inputs: DataFrame) -> Iterator[int]:
-    """Raise the shuffle partition count to suit the inputs while a job runs; never lower it.
+def sized_tasks(spark: SparkSession, *inputs: DataFrame) -> Iterator[None]:
+    """Raise the shuffle partition count and the scan split size to suit the inputs while a job runs.
 
     AQE merges partitions that turn out small but cannot split a plain aggregation's partitions,
     so the count must be large enough before the job starts.
     """
-    before = spark.conf.get(SHUFFLE_SETTING)
-    wanted = sum(planned_bytes(df) for df in inputs) // SHUFFLE_TASK_BYTES + 1
-    count = max(int(before), min(wanted, MAX_SHUFFLE_TASKS))
-    spark.conf.set(SHUFFLE_SETTING, str(count))
+    before = {name: spark.conf.get(name) for name in (SHUFFLE_SETTING, SCAN_SETTING)}
+    scan_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before[SCAN_SETTING])
+    input_bytes = sum(planned_bytes(df) for df in inputs)
+    partitions, split = task_sizes(input_bytes, int(before[SHUFFLE_SETTING]), scan_bytes)
+    spark.conf.set(SHUFFLE_SETTING, str(partitions))
+    spark.conf.set(SCAN_SETTING, f"{split}b")
     try:
-        yield count
+        yield
     finally:
-        spark.conf.set(SHUFFLE_SETTING, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
