@@ -6,6 +6,8 @@ part of the rows arrives at its reducer as one row per map task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,23 +40,24 @@ def count_copies(df: DataFrame, copies: str = "copies") -> DataFrame:
 
 
 def newest_per_key(
-    df: DataFrame, key: str, version: str, repeats_of: DataFrame | None = None
+    df: DataFrame, key: str, version: Sequence[str], versions: DataFrame | None = None
 ) -> DataFrame:
     """Rows of the newest version of each key; every row of that version is kept.
 
-    Versions are looked up in `repeats_of`, a slimmer frame of key and version, or in `df` itself.
-    Only keys with several versions matter, and these are few as a rule, so the wide rows are not
-    shuffled unless there are many such keys.
+    `version` names the columns that order versions, the first one first. They are looked up in
+    `versions`, a slim frame with one row per key and version, or in `df` itself. Only keys with
+    several versions matter, and these are few as a rule, so the wide rows are not shuffled unless
+    there are many such keys.
     """
-    versions = df if repeats_of is None else repeats_of
+    found = F.struct(*version)
     repeated = (
-        versions.groupBy(F.col(key).alias("_key"))
-        .agg(F.max(version).alias("_newest"), F.min(version).alias("_oldest"))
+        (df if versions is None else versions)
+        .groupBy(F.col(key).alias("_key"))
+        .agg(F.max(found).alias("_newest"), F.min(found).alias("_oldest"))
         .filter(F.col("_oldest") < F.col("_newest"))
         .select("_key", "_newest")
     )
     repeated = broadcast_rows_if_few(repeated)
     if repeated is None:
         return df
-    older = (F.col(key) == F.col("_key")) & (F.col(version) < F.col("_newest"))
-    return df.join(repeated, older, "left_anti")
+    return df.join(repeated, (F.col(key) == F.col("_key")) & (found < F.col("_newest")), "left_anti")

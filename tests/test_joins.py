@@ -118,11 +118,11 @@ def test_cleaning_sales_is_one_shuffle_with_partial_aggregation(spark, tmp_path)
 def test_newest_version_per_key(spark, monkeypatch, limit):
     monkeypatch.setattr(broadcast_rows_if_few, "__defaults__", (limit,))
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("a", 2, "z"), ("b", 5, "w"), (None, 1, "n")], "k string, v int, t string")
-    assert sorted(r.t for r in newest_per_key(df, "k", "v").collect()) == ["n", "w", "y", "z"]
+    assert sorted(r.t for r in newest_per_key(df, "k", ["v"]).collect()) == ["n", "w", "y", "z"]
     versions = spark.createDataFrame([("b", 5), ("b", 6)], "k string, v int")
-    assert sorted(r.t for r in newest_per_key(df, "k", "v", repeats_of=versions).collect()) == ["n", "x", "y", "z"]
+    assert sorted(r.t for r in newest_per_key(df, "k", ["v"], versions=versions).collect()) == ["n", "x", "y", "z"]
 
 
 def test_untouched_where_no_key_has_several_versions(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2)], "k string, v int")
-    assert newest_per_key(df, "k", "v") is df
+    assert newest_per_key(df, "k", ["v"]) is df
