@@ -6,19 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Decimal notation with an optional whole part: '3.7', '-2.', '.5'.
-_DECIMAL_TEXT = r"^\s*(?<sign>[+-]?)(?<whole>\d*)\.\d*\s*$"
-
 
 def to_type(column: Column, source: T.DataType, target: T.DataType) -> Column:
-    """Cast leniently. Decimal text is cut to its whole part for an integer column: '3.7' is 3."""
+    """Cast leniently. Decimal text is cut to its whole part for an integer column: '3.7' is 3.
+
+    Text with an exponent or a suffix, as in '1e3', is no integer. The expression is kept short on
+    purpose: a stage casts dozens of columns, and the JVM does not compile methods beyond 8000 bytes.
+    """
     if source == target:
         return column
     cast = column.try_cast(target)
     if isinstance(source, T.StringType) and isinstance(target, T.IntegerType):
-        # Only text that is no plain integer reaches the pattern.
-        whole = F.regexp_replace(column, F.lit(_DECIMAL_TEXT), F.lit("${sign}0${whole}"))
-        return F.coalesce(cast, whole.try_cast(target))
+        decimal = F.when(~column.rlike("[a-zA-Z]"), column.try_cast("double").try_cast(target))
+        return F.coalesce(cast, decimal)
     return cast
 
 

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from tallyshelf import fixed_values as fixed
 from tallyshelf.checks import feeds
+from tallyshelf.operators.columns import coerce_columns
 from tallyshelf.operators.dedup import newest_per_key
 from tallyshelf.operators.joins import broadcast_if_small, broadcast_rows_if_few, join_sources, measured_bytes
 from tallyshelf.plans.clean import clean_products, clean_sales, clean_stores
 from tallyshelf.plans.overview import retail_sales_overview
+from tallyshelf.schemas import SALES_SCHEMA
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -114,6 +116,22 @@ def test_cleaning_sales_is_one_shuffle_with_partial_aggregation(spark, tmp_path)
     assert "Python" not in text
 
 
+def longest_method(spark, df) -> int:
+    """Bytes of the longest method that any whole stage of the plan is compiled to."""
+    with settings(spark, spark__sql__adaptive__enabled="false"):
+        fresh = df.select("*")._jdf.queryExecution().executedPlan()
+        stages = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenStringSeq(fresh)
+        return max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size()))
+
+
+@pytest.mark.parametrize("file_format", ["json", "parquet"])
+def test_typing_and_cleaning_text_stays_short_enough_for_the_jvm_to_compile(spark, tmp_path, file_format):
+    text = feeds.sales_text(spark, SF_DIR)
+    text.write.format(file_format).save(f"{tmp_path}/text")
+    read = spark.read.schema(text.schema).format(file_format).load(f"{tmp_path}/text")
+    assert longest_method(spark, clean_sales(coerce_columns(read, SALES_SCHEMA))) < 8000
+
+
 @pytest.mark.parametrize("limit", [0, 1_000_000])
 def test_newest_version_per_key(spark, monkeypatch, limit):
     monkeypatch.setattr(broadcast_rows_if_few, "__defaults__", (limit,))

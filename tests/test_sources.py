@@ -14,8 +14,8 @@ from tallyshelf.sources.tables import read_hive_table
 from tallyshelf.sources.warehouse import Warehouse, read_warehouse_table
 
 INTEGER_TEXTS = [
-    "3.7", "5", "x", "", "-2.9", "1e3", "5d", ".5", ".", " 5 ", "+7", "3000000000", "NaN", "-", "1.", "-.5", "1.x",
-    "\t4\n", "007", "2147483648.5", None,
+    "3.7", "5", "x", "", "-2.9", "1e3", "1.5e3", "5d", "5.5f", ".5", " 5 ", "+7", "3000000000", "NaN", "Infinity", "-",
+    "1.", "-.5", "1.x", "1.2.3", "\t4\n", " -3.9 ", "007", "2147483647.9", "-2147483648.9", "2147483648.5", None,
 ]
 
 
@@ -30,6 +30,10 @@ def test_integer_text_is_read_as_a_lenient_cast_would(spark):
     assert [r.a for r in coerced.orderBy("i").collect()] == wanted
 
 
+def test_a_lone_dot_is_no_integer(spark):
+    assert coerce_columns(spark.createDataFrame([(".",)], "a string"), T.StructType().add("a", "integer")).first() == (None,)
+
+
 def test_coercion_keeps_order_and_other_columns(spark):
     df = spark.createDataFrame([("1", "x", "2.5")], "a string, other string, b string")
     coerced = coerce_columns(df, T.StructType().add("b", "double").add("a", "integer"))
