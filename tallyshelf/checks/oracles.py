@@ -203,10 +203,11 @@ _QUERIES = {
     # Duplicates
     "dedup_products": CLEAN_PRODUCTS.replace("where sku_id is not null and list_price > 0", ""),
     "dedup_stores": """
-        select n_regionkey, n_nationkey, n_name
-        from (select n_regionkey, n_nationkey, n_name, row_number() over (
-                  partition by n_regionkey order by n_nationkey nulls first, n_name nulls first) as place
-              from supplier join nation on s_nationkey = n_nationkey)
+        select store_id, country, city, channel, latitude, longitude
+        from (select *, row_number() over (partition by store_id order by country nulls first, city nulls first,
+                     channel nulls first, latitude nulls first, longitude nulls first) as place
+              from (select * from norm_stores
+                    union all select * replace (concat('A', city) as city) from norm_stores))
         where place = 1""",
     "dedup_sales": f"select {_DATED} from (select distinct * from norm_sales)",
     "distinct_fetch": """

@@ -206,8 +206,10 @@ def q_dedup_products(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_dedup_stores(spark: SparkSession, sf: str) -> DataFrame:
-    nations = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    return one_per_key(nations.select("n_regionkey", "n_nationkey", "n_name"), "n_regionkey")
+    """Every store a second time in another city."""
+    stores = normalize_stores(raw_stores(spark, sf))
+    moved = stores.withColumn("city", F.concat(F.lit("A"), "city"))
+    return one_per_key(stores.unionByName(moved), "store_id")
 
 
 def q_dedup_sales(spark: SparkSession, sf: str) -> DataFrame:

@@ -14,10 +14,11 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 SHUFFLE_SETTING = "spark.sql.shuffle.partitions"
 SCAN_SETTING = "spark.sql.files.maxPartitionBytes"
 
-# Bytes of input one shuffle task should handle, and the most tasks one stage should have: the
-# driver keeps track of scan tasks times shuffle tasks.
-SHUFFLE_TASK_BYTES = 512 * 1024 * 1024
-MAX_STAGE_TASKS = 50_000
+# Bytes of input, compressed as a rule, that one shuffle task should handle, and the most tasks a
+# stage should have: the driver keeps track of scan tasks times shuffle tasks.
+SHUFFLE_TASK_BYTES = 128 * 1024 * 1024
+MAX_SHUFFLE_TASKS = 50_000
+MAX_SCAN_TASKS = 100_000
 
 
 def get_spark_session(
@@ -93,8 +94,8 @@ def planned_bytes(df: DataFrame) -> int:
 
 def task_sizes(input_bytes: int, shuffle_partitions: int, scan_bytes: int) -> tuple[int, int]:
     """Shuffle partitions and bytes per scan task for an input, at least the given ones."""
-    wanted = min(input_bytes // SHUFFLE_TASK_BYTES + 1, MAX_STAGE_TASKS)
-    return max(shuffle_partitions, wanted), max(scan_bytes, input_bytes // MAX_STAGE_TASKS)
+    wanted = min(input_bytes // SHUFFLE_TASK_BYTES + 1, MAX_SHUFFLE_TASKS)
+    return max(shuffle_partitions, wanted), max(scan_bytes, input_bytes // MAX_SCAN_TASKS)
 
 
 @contextmanager

@@ -17,6 +17,7 @@ from tallyshelf.operators.envelopes import (
 )
 from tallyshelf.plans.publish import publish_feed
 from tallyshelf.session import scratch_folder, scratch_path
+from tallyshelf.sources.files import read_row_feed
 from tallyshelf.sources.topic import Topic
 
 ROW = T.StructType().add("sku_id", "string").add("units_sold", "integer")
@@ -45,6 +46,22 @@ def test_rows_in_an_envelope_are_in_order(spark):
     assert ids == list(range(250))
 
 
+def test_rows_of_a_split_file_keep_their_order(spark, tmp_path):
+    (tmp_path / "feed.csv").write_text("sku_id\n" + "".join(f"k{i}\n" for i in range(5000)))
+    before = {n: spark.conf.get(n) for n in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for name in before:
+        spark.conf.set(name, "1000b")
+    try:
+        feed = read_row_feed(spark, f"{tmp_path}/feed.csv")
+        assert feed.rdd.getNumPartitions() > 10
+        numbered = number_rows(feed, scratch_path(spark, "t"))
+        found = [r.sku_id for r in numbered.select("number", "row.*").orderBy("number").collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert found == [f"k{i}" for i in range(5000)]
+
+
 def test_copies_of_one_row_fill_envelopes_evenly(spark):
     df = spark.range(3000, numPartitions=4).select(F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(0).alias("id"))
     envelopes = pack_envelopes(df, scratch_path(spark, "t"), 100)

@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 from tallyshelf.plans.dimensions import append_products, append_stores, load_stores
 from tallyshelf.schemas import PRODUCTS_SCHEMA, STORES_SCHEMA
-from tallyshelf.session import CHECKPOINT_SETTING, MAX_STAGE_TASKS, s3a_options, scratch_root, sized_tasks, task_sizes
+from tallyshelf.session import (
+    CHECKPOINT_SETTING,
+    MAX_SCAN_TASKS,
+    MAX_SHUFFLE_TASKS,
+    s3a_options,
+    scratch_root,
+    sized_tasks,
+    task_sizes,
+)
 from tallyshelf.sinks import csv_files
 from tallyshelf.sinks.csv_files import export_csv
 from tallyshelf.sinks.tables import append_table, ensure_table, save_table
@@ -118,9 +126,9 @@ def test_scratch_space_is_the_clusters_folder(spark):
 def test_task_sizes():
     tera = 1 << 40
     assert task_sizes(0, 8, 128 << 20) == (8, 128 << 20)
-    assert task_sizes(tera, 200, 128 << 20) == (2049, 128 << 20)
+    assert task_sizes(tera, 200, 128 << 20) == (8193, 128 << 20)
     partitions, split = task_sizes(100 * tera, 200, 128 << 20)
-    assert partitions == MAX_STAGE_TASKS and 100 * tera / split <= MAX_STAGE_TASKS + 1
+    assert partitions == MAX_SHUFFLE_TASKS and 100 * tera / split <= MAX_SCAN_TASKS + 1
 
 
 def test_sized_tasks_are_put_back(spark, tmp_path, monkeypatch):
