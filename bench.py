@@ -15,12 +15,12 @@ from pathlib import Path
 
 from tallyshelf.checks.feeds import raw_products, raw_stores, sales_text
 from tallyshelf.checks.queries import q_retail_sales_overview
+from tallyshelf.plans.clean import clean_sales
 from tallyshelf.plans.dimensions import append_products, append_stores
 from tallyshelf.plans.stages import STAGES, Settings
 from tallyshelf.schemas import SALES_SCHEMA
-from tallyshelf.session import CHECKPOINT_SETTING, get_spark_session
+from tallyshelf.session import get_spark_session
 from tallyshelf.sources.files import read_sales_data
-from tallyshelf.plans.clean import clean_sales
 from tallyshelf.sources.topic import Topic
 from tallyshelf.streaming.landing import Landing
 
@@ -49,7 +49,6 @@ def main() -> None:
             "spark.sql.warehouse.dir": f"{folder}/warehouse",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
-            CHECKPOINT_SETTING: f"{folder}/checkpoints",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -6,7 +6,7 @@ import warnings
 import pytest
 from pyspark.sql import SparkSession
 
-from tallyshelf.session import CHECKPOINT_SETTING, get_spark_session
+from tallyshelf.session import get_spark_session
 
 
 @pytest.fixture(scope="session")
@@ -20,7 +20,6 @@ def spark() -> SparkSession:
             "spark.ui.enabled": "false",
             "spark.sql.shuffle.partitions": "4",
             "spark.sql.warehouse.dir": f"{folder}/warehouse",
-            CHECKPOINT_SETTING: f"{folder}/checkpoints",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import glob
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -119,8 +120,17 @@ def test_session_is_in_utc(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
 
 
-def test_scratch_space_is_the_clusters_folder(spark):
-    assert scratch_root(spark) == spark.conf.get(CHECKPOINT_SETTING)
+def test_scratch_space_is_the_folder_the_cluster_names(spark):
+    before = spark.conf.get(CHECKPOINT_SETTING, None)
+    if before:
+        assert scratch_root(spark) == before.rstrip("/")
+    named = SimpleNamespace(conf={CHECKPOINT_SETTING: "hdfs:///shared/"})
+    assert scratch_root(named) == "hdfs:///shared"
+    unnamed = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="local[2]"))
+    assert scratch_root(unnamed) != scratch_root(unnamed)
+    unnamed.sparkContext.master = "yarn"
+    with pytest.raises(ValueError, match=CHECKPOINT_SETTING):
+        scratch_root(unnamed)
 
 
 def test_task_sizes():
