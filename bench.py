@@ -14,9 +14,9 @@ import time
 from pathlib import Path
 
 from tallyshelf.checks.feeds import raw_products, raw_stores, sales_text
-from tallyshelf.checks.queries import q_retail_sales_overview
-from tallyshelf.plans.clean import clean_sales
+from tallyshelf.plans.clean import clean_products, clean_sales, clean_stores
 from tallyshelf.plans.dimensions import append_products, append_stores
+from tallyshelf.plans.overview import retail_sales_overview
 from tallyshelf.plans.stages import STAGES, Settings
 from tallyshelf.schemas import SALES_SCHEMA
 from tallyshelf.session import get_spark_session
@@ -65,12 +65,21 @@ def main() -> None:
         export=f"{folder}/export",
     )
 
+    def landed_sales():
+        return read_sales_data(spark, f"{lines}/*.json", SALES_SCHEMA)
+
+    def overview():
+        products, stores = spark.table(settings.product_table), spark.table(settings.store_table)
+        return retail_sales_overview(clean_sales(landed_sales()), clean_products(products), clean_stores(stores))
+
     seconds = {
         "load_products": timed(lambda: append_products(spark, raw_products(spark, sf_dir), settings.product_table)),
         "load_stores": timed(lambda: append_stores(spark, raw_stores(spark, sf_dir), settings.store_table)),
-        "retail_sales_overview": timed(lambda: to_nowhere(q_retail_sales_overview(spark, sf_dir))),
-        "json_scan": timed(lambda: to_nowhere(read_sales_data(spark, f"{lines}/*.json", SALES_SCHEMA))),
-        "clean_sales": timed(lambda: to_nowhere(clean_sales(read_sales_data(spark, f"{lines}/*.json", SALES_SCHEMA)))),
+        "json_scan": timed(lambda: to_nowhere(landed_sales())),
+        "clean_products": timed(lambda: to_nowhere(clean_products(spark.table(settings.product_table)))),
+        "clean_stores": timed(lambda: to_nowhere(clean_stores(spark.table(settings.store_table)))),
+        "clean_sales": timed(lambda: to_nowhere(clean_sales(landed_sales()))),
+        "retail_sales_overview": timed(lambda: to_nowhere(overview())),
     }
     for name, stage in STAGES.items():
         seconds[f"stage_{name}"] = timed(lambda: stage(spark, settings))

@@ -36,6 +36,7 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--servers", default="", help="Kafka bootstrap servers")
     parser.add_argument("--landing", default="", help="landing folder")
     parser.add_argument("--landing-format", default="parquet", choices=["parquet", "json"])
+    parser.add_argument("--run-id", default="", help="subfolder of the topic and landing folders, for an unrelated feed")
     parser.add_argument("--per-trigger", type=int, help="messages (Kafka) or files per micro-batch")
     parser.add_argument("--export", default="", help="target of the CSV export")
     parser.add_argument("--single-file", action=argparse.BooleanOptionalAction, help="default: by size")
@@ -51,10 +52,11 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def _settings(args: argparse.Namespace) -> Settings:
+    run = f"/{args.run_id}" if args.run_id else ""
     return Settings(
         feed=args.feed,
-        topic=Topic(args.topic, args.servers, per_trigger=args.per_trigger),
-        landing=Landing(args.landing, file_format=args.landing_format),
+        topic=Topic(args.topic if args.servers else args.topic + run, args.servers, per_trigger=args.per_trigger),
+        landing=Landing(args.landing + run, file_format=args.landing_format),
         export=args.export,
         single_file=args.single_file,
         partition_by=tuple(args.partition_by),

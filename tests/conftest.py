@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import tempfile
-import warnings
 
 import pytest
 from pyspark.sql import SparkSession

@@ -35,7 +35,8 @@ def plan(df) -> str:
 
 
 def star(spark):
-    sales = spark.createDataFrame([("s1", "k1", 1), ("s1", "k2", 2), ("s9", "k1", 3), ("s1", None, 4)], "store_id string, sku_id string, n int")
+    rows = [("s1", "k1", 1), ("s1", "k2", 2), ("s9", "k1", 3), ("s1", None, 4)]
+    sales = spark.createDataFrame(rows, "store_id string, sku_id string, n int")
     products = spark.createDataFrame([("k1", "tea"), ("k3", "oil")], "sku_id string, sku_name string")
     stores = spark.createDataFrame([("s1", "Chile")], "store_id string, country string")
     return sales, products, stores
@@ -135,7 +136,8 @@ def test_typing_and_cleaning_text_stays_short_enough_for_the_jvm_to_compile(spar
 @pytest.mark.parametrize("limit", [0, 1_000_000])
 def test_newest_version_per_key(spark, monkeypatch, limit):
     monkeypatch.setattr(broadcast_rows_if_few, "__defaults__", (limit,))
-    df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("a", 2, "z"), ("b", 5, "w"), (None, 1, "n")], "k string, v int, t string")
+    rows = [("a", 1, "x"), ("a", 2, "y"), ("a", 2, "z"), ("b", 5, "w"), (None, 1, "n")]
+    df = spark.createDataFrame(rows, "k string, v int, t string")
     assert sorted(r.t for r in newest_per_key(df, "k", ["v"]).collect()) == ["n", "w", "y", "z"]
     versions = spark.createDataFrame([("b", 5), ("b", 6)], "k string, v int")
     assert sorted(r.t for r in newest_per_key(df, "k", ["v"], versions=versions).collect()) == ["n", "x", "y", "z"]

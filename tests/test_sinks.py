@@ -51,7 +51,8 @@ def test_append_goes_by_name_and_repeats(spark, table):
 
 
 def test_store_load_drops_duplicates_of_one_fetch_only(spark, table):
-    rows = [("s1", "c", "t, u", "w", 1.0, float("nan")), ("s1", "c", "t, u", "w", 1.0, float("nan")), ("s2", None, None, None, None, None)]
+    twice = ("s1", "c", "t, u", "w", 1.0, float("nan"))
+    rows = [twice, twice, ("s2", None, None, None, None, None)]
     df = spark.createDataFrame(rows, STORES_SCHEMA)
     report = append_stores(spark, df, table)
     assert (report.read, report.appended, report.duplicates) == (3, 2, 1)

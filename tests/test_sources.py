@@ -11,6 +11,7 @@ from tallyshelf.operators.reports import preview, require_schema, require_values
 from tallyshelf.schemas import PRODUCTS_SCHEMA, SALES_SCHEMA, STORES_SCHEMA, as_text
 from tallyshelf.sources.files import read_row_feed, read_sales_data, read_store_csv
 from tallyshelf.sources.tables import read_hive_table
+from tallyshelf.sources.topic import Topic
 from tallyshelf.sources.warehouse import Warehouse, read_warehouse_table
 
 INTEGER_TEXTS = [
@@ -89,7 +90,8 @@ def test_other_formats_are_refused(spark):
 
 def test_catalog_table_is_cast(spark):
     spark.sql("drop table if exists some_products")
-    spark.createDataFrame([("k", "n", "c", "s", "b", "1.5", 7)], [*fixed.PRODUCTS, "extra"]).write.saveAsTable("some_products")
+    text = spark.createDataFrame([("k", "n", "c", "s", "b", "1.5", 7)], [*fixed.PRODUCTS, "extra"])
+    text.write.saveAsTable("some_products")
     df = read_hive_table(spark, "some_products", PRODUCTS_SCHEMA)
     assert df.first() == ("k", "n", "c", "s", "b", 1.5, 7)
 
@@ -139,6 +141,19 @@ def test_warehouse_connector_reads_any_provider(spark, tmp_path):
     assert read_warehouse_table(spark, source).count() == 3
 
 
+def test_topic_options():
+    kafka = Topic("sales", "host:9092", {"kafka.security.protocol": "SSL"})
+    assert kafka.read_options() == {
+        "kafka.bootstrap.servers": "host:9092", "subscribe": "sales", "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": "500000", "kafka.security.protocol": "SSL",
+    }
+    assert kafka.write_options() == {
+        "kafka.bootstrap.servers": "host:9092", "topic": "sales", "kafka.acks": "all", "kafka.security.protocol": "SSL",
+    }
+    folder = Topic("/topic", per_trigger=3)
+    assert folder.read_options()["maxFilesPerTrigger"] == "3" and folder.write_options() == {}
+
+
 def test_names_and_missing_values(spark):
     df = spark.createDataFrame([(1.0, float("nan"), "NaN"), (None, 2.0, None)], "A double, B float, C string")
     cleaned = nan_to_null(lower_case_names(df))
@@ -158,7 +173,8 @@ def test_reports(spark):
 
 
 def test_required_values_are_searched_beyond_the_first_rows(spark):
-    df = spark.range(100, numPartitions=5).select(F.when(F.col("id") == 99, F.col("id")).alias("late"), F.lit(None).alias("never"))
+    late = F.when(F.col("id") == 99, F.col("id")).alias("late")
+    df = spark.range(100, numPartitions=5).select(late, F.lit(None).alias("never"))
     assert require_values(df, ("late",), head=3) is df
     with pytest.raises(ValueError, match="never"):
         require_values(df, ("late", "never"), head=3)

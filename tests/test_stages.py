@@ -4,7 +4,7 @@ import glob
 
 import pytest
 
-from tallyshelf.__main__ import main
+from tallyshelf.__main__ import _parser, _settings, main
 from tallyshelf.checks import feeds
 from tallyshelf.plans.dimensions import append_products, append_stores
 
@@ -53,6 +53,13 @@ def test_all_stages_from_the_command_line(database, tmp_path, capsys):
     assert exported.count() == curated and exported.columns[:2] == ["date", "weekday_name"]
 
 
+def test_a_run_id_separates_folders():
+    args = _parser().parse_args(["all", "--topic=t", "--landing=l", "--run-id=r7"])
+    assert (_settings(args).topic.name, _settings(args).landing.path) == ("t/r7", "l/r7")
+    args = _parser().parse_args(["all", "--topic=t", "--landing=l", "--run-id=r7", "--servers=h:1"])
+    assert (_settings(args).topic.name, _settings(args).landing.path) == ("t", "l/r7")
+
+
 def test_store_load_from_the_command_line(database, tmp_path, capsys):
     (tmp_path / "s.csv").write_text("store_id,country,city,channel,latitude,longitude\ns1,c,t,w,1,2\ns1,c,t,w,1,2\n")
     main(["load-stores", "--no-hive", f"--store-csv={tmp_path}/s.csv"])
