@@ -87,9 +87,12 @@ def save_clean_tables(
 ) -> dict[str, DataFrame]:
     """Clean the typed feeds and save them; returns the saved tables by name."""
     require_values(sales, fixed.SALES_KEYS + fixed.SALES_MEASURES)
-    with sized_tasks(spark, sales):
-        return {
-            tables.products: save_table(clean_products(products), tables.products),
-            tables.stores: save_table(clean_stores(stores), tables.stores),
-            tables.sales: save_table(clean_sales(sales), tables.sales, partition_by),
-        }
+    saved = {}
+    for raw, job, table, partitions in (
+        (products, clean_products, tables.products, ()),
+        (stores, clean_stores, tables.stores, ()),
+        (sales, clean_sales, tables.sales, partition_by),
+    ):
+        with sized_tasks(spark, raw):
+            saved[table] = save_table(job(raw), table, partitions)
+    return saved

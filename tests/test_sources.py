@@ -145,7 +145,7 @@ def test_topic_options():
     kafka = Topic("sales", "host:9092", {"kafka.security.protocol": "SSL"})
     assert kafka.read_options() == {
         "kafka.bootstrap.servers": "host:9092", "subscribe": "sales", "startingOffsets": "earliest",
-        "maxOffsetsPerTrigger": "500000", "kafka.security.protocol": "SSL",
+        "maxOffsetsPerTrigger": "500000", "minPartitions": "501", "kafka.security.protocol": "SSL",
     }
     assert kafka.write_options() == {
         "kafka.bootstrap.servers": "host:9092", "topic": "sales", "kafka.acks": "all", "kafka.security.protocol": "SSL",
