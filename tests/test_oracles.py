@@ -5,15 +5,18 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry_points
+from tallyshelf.checks import oracles, queries
 from tests.compare import duckdb_rows, spark_rows
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = queries.queries()
+ORACLES = oracles.oracle_sql()
 
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
