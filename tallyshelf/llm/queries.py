@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from tallyshelf.llm.licences import licences_sql, q_licences
+from tallyshelf.llm.pieces import q_pieces
+from tallyshelf.llm.token_counts import q_token_counts
 
 QUERIES = {
+    "op2_token_counts": q_token_counts,
+    "op4_pieces": q_pieces,
     "op8_licences": q_licences,
 }
 ORACLES = {
