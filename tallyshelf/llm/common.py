@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +20,20 @@ SPACES = "\x20\x09-\x0D"
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, as `--py-files` would."""
+    context = spark.sparkContext
+    if getattr(context, "_tallyshelf_sent", None) == context.applicationId:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="run-")) / "tallyshelf.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._tallyshelf_sent = context.applicationId
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

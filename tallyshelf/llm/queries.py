@@ -2,15 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tallyshelf.llm.common import ship_code
 from tallyshelf.llm.licences import licences_sql, q_licences
 from tallyshelf.llm.pieces import q_pieces
 from tallyshelf.llm.token_counts import q_token_counts
 
-QUERIES = {
+
+def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def with_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_code(spark)
+        return run(spark, sf_dir)
+
+    return with_code
+
+
+QUERIES = {name: _query(run) for name, run in {
     "op2_token_counts": q_token_counts,
     "op4_pieces": q_pieces,
     "op8_licences": q_licences,
-}
+}.items()}
 ORACLES = {
     "op8_licences": licences_sql(),
 }
