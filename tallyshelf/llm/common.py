@@ -9,6 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,7 +109,7 @@ def text_groups(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Ta
     for batch in batches:
         start, ends = 0, None
         text = batch.column(batch.schema.get_field_index("text"))
-        ends = np.cumsum(np.asarray(pa.compute.binary_length(text.cast(pa.large_string())).fill_null(0)))
+        ends = np.cumsum(np.asarray(pc.binary_length(text.cast(pa.large_string())).fill_null(0)))
         while start < batch.num_rows:
             before = int(ends[start - 1]) if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, before + limit - size, side="right")))
