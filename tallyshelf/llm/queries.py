@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyshelf.llm.common import ship_code
+from tallyshelf.llm.decontaminate import q_decontaminate
+from tallyshelf.llm.language import q_language
 from tallyshelf.llm.licences import licences_sql, q_licences
+from tallyshelf.llm.main_text import q_main_text
 from tallyshelf.llm.pieces import q_pieces
 from tallyshelf.llm.token_counts import q_token_counts
 
@@ -23,7 +26,10 @@ def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 QUERIES = {name: _query(run) for name, run in {
     "op2_token_counts": q_token_counts,
     "op4_pieces": q_pieces,
+    "op5_main_text": q_main_text,
+    "op7_language": q_language,
     "op8_licences": q_licences,
+    "op9_decontaminate": q_decontaminate,
 }.items()}
 ORACLES = {
     "op8_licences": licences_sql(),
