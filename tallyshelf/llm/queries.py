@@ -12,6 +12,7 @@ from tallyshelf.llm.language import q_language
 from tallyshelf.llm.licences import licences_sql, q_licences
 from tallyshelf.llm.main_text import q_main_text
 from tallyshelf.llm.pieces import q_pieces
+from tallyshelf.llm.quality import q_quality
 from tallyshelf.llm.token_counts import q_token_counts
 
 
@@ -27,6 +28,7 @@ QUERIES = {name: _query(run) for name, run in {
     "op2_token_counts": q_token_counts,
     "op4_pieces": q_pieces,
     "op5_main_text": q_main_text,
+    "op6_quality": q_quality,
     "op7_language": q_language,
     "op8_licences": q_licences,
     "op9_decontaminate": q_decontaminate,
