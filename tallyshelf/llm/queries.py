@@ -13,6 +13,7 @@ from tallyshelf.llm.licences import licences_sql, q_licences
 from tallyshelf.llm.main_text import q_main_text
 from tallyshelf.llm.pieces import q_pieces
 from tallyshelf.llm.quality import q_quality
+from tallyshelf.llm.repeats import q_repeats
 from tallyshelf.llm.token_counts import q_token_counts
 
 
@@ -32,6 +33,7 @@ QUERIES = {name: _query(run) for name, run in {
     "op7_language": q_language,
     "op8_licences": q_licences,
     "op9_decontaminate": q_decontaminate,
+    "op10_repeats": q_repeats,
 }.items()}
 ORACLES = {
     "op8_licences": licences_sql(),
