@@ -131,6 +131,63 @@ def answer(blocks: DataFrame, merge: Callable[[list[bytes]], list[bytes]], kind:
     return blocks.groupBy("bucket").applyInArrow(run, BLOCKS_DDL)
 
 
+STATE_DDL = "bucket long, data binary, sums array<double>"
+STATE = pa.schema([("bucket", pa.int64()), ("data", pa.binary()), ("sums", pa.list_(pa.float64()))])
+
+
+def gather(blocks: DataFrame, merge: Callable[[list[bytes]], tuple[bytes, list[float]]]) -> DataFrame:
+    """A state for each bucket from all its blocks, in the chunks' order, with sums for the driver to add up."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        data, sums = merge(rows.sort_by("chunk")["data"].to_pylist())
+        return pa.Table.from_pylist([{"bucket": rows["bucket"][0].as_py(), "data": data, "sums": sums}], schema=STATE)
+
+    return blocks.groupBy("bucket").applyInArrow(run, STATE_DDL)
+
+
+def update(
+    state: DataFrame, blocks: DataFrame, merge: Callable[[bytes, list[bytes]], tuple[bytes, list[float]]]
+) -> DataFrame:
+    """The next state of each bucket from its state and its new blocks."""
+
+    def run(mine: pa.Table, rows: pa.Table) -> pa.Table:
+        row = mine.to_pylist()[0]
+        data, sums = merge(row["data"], rows.sort_by("chunk")["data"].to_pylist())
+        return pa.Table.from_pylist([{"bucket": row["bucket"], "data": data, "sums": sums}], schema=STATE)
+
+    return state.groupBy("bucket").cogroup(blocks.groupBy("bucket")).applyInArrow(run, STATE_DDL)
+
+
+def serve(state: DataFrame, blocks: DataFrame, reply: Callable[[bytes | None, bytes], bytes], kind: int) -> DataFrame:
+    """One block back to each chunk from the state of each bucket that it asks; None where a bucket has no state."""
+
+    def run(mine: pa.Table, rows: pa.Table) -> pa.Table:
+        held = mine["data"][0].as_py() if mine.num_rows else None
+        data = [reply(held, block) for block in rows["data"].to_pylist()]
+        return pa.Table.from_arrays(
+            [
+                rows["chunk"].combine_chunks(),
+                rows["bucket"].combine_chunks(),
+                pa.array([kind] * len(data), pa.int32()),
+                pa.array(data, pa.binary()),
+            ],
+            schema=BLOCKS,
+        )
+
+    return state.groupBy("bucket").cogroup(blocks.groupBy("bucket")).applyInArrow(run, BLOCKS_DDL)
+
+
+def sums_of(state: DataFrame) -> list[float]:
+    """The sums over all buckets: a few numbers, however many buckets there are."""
+    rows = state.select(F.posexplode("sums").alias("k", "x")).groupBy("k").agg(F.sum("x").alias("x")).orderBy("k")
+    return [r["x"] for r in rows.collect()]
+
+
+def range_bucket(keys: np.ndarray, bits: int, buckets: int) -> np.ndarray:
+    """Buckets by equal ranges of hashed keys, so that the keys of a bucket lie close together."""
+    return (((keys >> np.uint64(bits - 32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+
+
 def with_answers(
     chunks: DataFrame, answers: DataFrame, use: Callable[[int, Chunk, dict[int, dict[int, bytes]]], pa.Table], ddl: str
 ) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -46,6 +47,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark see which shuffles nobody can read any more; it deletes their files."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def id_and_text(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Just the two columns an operator reads, so that no other column can clash; null text is empty."""
     return docs.select(
@@ -54,6 +61,15 @@ def id_and_text(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     )
 
 
+def sample_by_hash(rows: DataFrame, key: str, n: int, *order: str) -> DataFrame:
+    """The n rows with the least hashes of a key. The bound is found on hashes alone, so few other rows are moved."""
+    hashed = rows.withColumn("_hash", F.xxhash64(key))
+    bound = hashed.select("_hash").orderBy("_hash").limit(n).agg(F.max("_hash").alias("b")).collect()[0]["b"]
+    if bound is None:
+        return rows.limit(0)
+    return hashed.filter(F.col("_hash") <= bound).orderBy("_hash", *order).limit(n).drop("_hash")
+
+
 def split_of(id_column: str, divisor: int):
     """Remainder by which documents are held out: crc32 of the id as text."""
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % divisor

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyshelf.llm.common import split_of, table, text_groups
+from tallyshelf.llm.common import sample_by_hash, split_of, table, text_groups
 
 PIECE = 20
 GROUP_BYTES = 6 << 20
@@ -221,8 +221,8 @@ def _guesser(net: Network | None):
 
 def training_rows(docs: DataFrame, learn: Column, sample_docs: int) -> list[tuple[str, str]]:
     rows = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    rows = rows.select("text", F.col("lang").cast("string").alias("lang"), F.xxhash64("doc_id").alias("_order"))
-    return [(r["text"], r["lang"]) for r in rows.orderBy("_order", "lang", "text").limit(sample_docs).collect()]
+    rows = rows.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
+    return [(r["text"], r["lang"]) for r in sample_by_hash(rows, "doc_id", sample_docs, "lang", "text").collect()]
 
 
 def predict_language(docs: DataFrame, learn: Column | None = None, sample_docs: int = 1500) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyshelf.llm.common import table, text_groups
+from tallyshelf.llm.common import sample_by_hash, table, text_groups
 
 # Element kinds of HTML.
 INLINE = frozenset(
@@ -422,7 +422,7 @@ def extract_main_text(pages: DataFrame, sample_pages: int = 400, model: TreeMode
         F.coalesce("html", F.lit("")).alias("text"),
     )
     if model is None:
-        sample = rows.orderBy(F.xxhash64("page_id"), "page_id", "text").limit(sample_pages)
+        sample = sample_by_hash(rows, "page_id", sample_pages, "page_id", "text")
         model = train([r["text"] for r in sample.select("text").collect()])
     return rows.mapInArrow(_extractor(model), "page_id long, url string, text string, n_chars long")
 

@@ -13,6 +13,7 @@ from tallyshelf.llm.licences import licences_sql, q_licences
 from tallyshelf.llm.main_text import q_main_text
 from tallyshelf.llm.order_minhash import q_near_duplicates
 from tallyshelf.llm.pieces import q_pieces
+from tallyshelf.llm.pitman_yor import q_score
 from tallyshelf.llm.quality import q_quality
 from tallyshelf.llm.repeats import q_repeats
 from tallyshelf.llm.token_counts import q_token_counts
@@ -27,6 +28,7 @@ def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 QUERIES = {name: _query(run) for name, run in {
+    "op1_score": q_score,
     "op2_token_counts": q_token_counts,
     "op3_near_duplicates": q_near_duplicates,
     "op4_pieces": q_pieces,
