@@ -9,13 +9,14 @@ The number of buckets follows the bytes of the input.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyshelf.llm.common import mix, stored, text_groups
@@ -31,7 +32,8 @@ BLOCKS_DDL = "chunk long, bucket long, kind int, data binary"
 
 
 class Chunk:
-    """Documents of a chunk: ids (NO_ID: null, after all others), flags, and UTF-8 bytes in a row with their ends."""
+    """Documents of a chunk: ids (NO_ID: null, after all others), flags, what is carried with each, and UTF-8 bytes
+    in a row with their ends."""
 
     def __init__(self, data: bytes) -> None:
         raw = zstandard.ZstdDecompressor().decompress(data)
@@ -39,7 +41,13 @@ class Chunk:
         self.ids = np.frombuffer(raw, np.int64, n, 8)
         self.ends = np.frombuffer(raw, np.int64, n, 8 + 8 * n)
         self.flags = np.frombuffer(raw, np.uint8, n, 8 + 16 * n)
-        self.data = memoryview(raw)[8 + 17 * n :]
+        size = int.from_bytes(raw[8 + 17 * n : 16 + 17 * n], "little")
+        self._carried = raw[16 + 17 * n : 16 + 17 * n + size]
+        self.data = memoryview(raw)[16 + 17 * n + size :]
+
+    @property
+    def carried(self) -> list[str]:
+        return json.loads(self._carried)
 
     @property
     def starts(self) -> np.ndarray:
@@ -61,7 +69,10 @@ def _packer(limit: int):
             ids = np.array([NO_ID if x is None else x for x in group["doc_id"].to_pylist()], np.int64)
             ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
             flags = np.array(group["flag"].to_pylist(), np.uint8)
-            whole = b"".join([len(ids).to_bytes(8, "little"), ids.tobytes(), ends.tobytes(), flags.tobytes(), *texts])
+            carried = json.dumps(group["carry"].to_pylist()).encode()
+            sizes = len(ids).to_bytes(8, "little"), len(carried).to_bytes(8, "little")
+            head = [sizes[0], ids.tobytes(), ends.tobytes(), flags.tobytes(), sizes[1], carried]
+            whole = b"".join([*head, *texts])
             yield pa.RecordBatch.from_pylist(
                 [{"chunk": (task << 32) + k, "n_bytes": int(ends[-1]), "data": compress(whole)}], schema=CHUNKS
             )
@@ -69,9 +80,16 @@ def _packer(limit: int):
     return run
 
 
-def to_chunks(docs: DataFrame, flag=None, limit: int = CHUNK_BYTES) -> DataFrame:
-    """Chunks of doc_id and text, and of a small number kept with each document; stored."""
-    rows = docs.select("doc_id", "text", (F.lit(0) if flag is None else F.coalesce(flag, F.lit(0))).cast("int").alias("flag"))
+def to_chunks(
+    docs: DataFrame, flag: Column | None = None, limit: int = CHUNK_BYTES, carry: Column | None = None
+) -> DataFrame:
+    """Chunks of doc_id and text, and of a small number and a string that go with each document; stored."""
+    rows = docs.select(
+        "doc_id",
+        "text",
+        (F.lit(0) if flag is None else F.coalesce(flag, F.lit(0))).cast("int").alias("flag"),
+        (F.lit("") if carry is None else carry).alias("carry"),
+    )
     return stored(rows.mapInArrow(_packer(limit), "chunk long, n_bytes long, data binary"), "chunks")
 
 

@@ -261,7 +261,7 @@ def near_classes(
     sketches: int = SKETCHES,
     parts: int = PARTS,
 ) -> DataFrame:
-    """doc_id, body (a digest of the text), and class_id, the least id of all documents of its class."""
+    """doc_id, body (a digest of the text), class_id, the least id of all documents of its class, and its root body."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.withColumn("body", F.unhex(F.md5("text")))
     sketched = stored(texts.mapInArrow(_sketcher(shingle, picks, sketches), KEYS_DDL), "sketches")
@@ -303,8 +303,8 @@ def near_classes(
     found = small if roots is None else small.join(roots.withColumnRenamed("node", "body"), "body", "left")
     found = found.withColumn("root", F.col("body") if roots is None else F.coalesce("root", "body"))
     least = found.groupBy("root").agg(F.min("rep").alias("class_id"))
-    named = stored(found.join(least, "root").select("body", "class_id"), "classes")
-    return sketched.select("doc_id", "body").join(named, "body").select("doc_id", "body", "class_id")
+    named = stored(found.join(least, "root").select("body", "class_id", "root"), "classes")
+    return sketched.select("doc_id", "body").join(named, "body").select("doc_id", "body", "class_id", "root")
 
 
 def q_near_duplicates(spark, sf_dir: str) -> DataFrame:

@@ -24,10 +24,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tallyshelf.llm.chunks import (
     BLOCKS_DDL,
+    CHUNK_BYTES,
     NO_ID,
     Chunk,
     answer,
@@ -39,7 +41,7 @@ from tallyshelf.llm.chunks import (
     to_chunks,
     with_answers,
 )
-from tallyshelf.llm.common import id_and_text, mix, pack, pack_sorted, stored, table, unpack, unpack_sorted
+from tallyshelf.llm.common import mix, pack, pack_sorted, release, stored, table, unpack, unpack_sorted
 
 THRESHOLD = 50
 ANCHOR = 25
@@ -290,9 +292,12 @@ KEPT = pa.schema([
     ("n_removed", pa.int64()),
     ("n_spans", pa.int64()),
     ("kept", pa.binary()),
-    ("removed", pa.list_(pa.int64())),
+    ("kept_text", pa.string()),
+    ("carried", pa.string()),
 ])
-KEPT_DDL = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, removed array<long>"
+KEPT_DDL = (
+    "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_text string, carried string"
+)
 
 
 def removed_bytes(chunk: Chunk, got: dict[int, dict[int, bytes]], threshold: int, anchor: int, buckets: int) -> np.ndarray:
@@ -320,12 +325,26 @@ def removed_bytes(chunk: Chunk, got: dict[int, dict[int, bytes]], threshold: int
     return np.cumsum(edge[:-1]) > 0
 
 
+def without(data: bytes, turns: list[int]) -> str:
+    """The text without the spans, and without characters of which a span has only a part."""
+    parts, at = [], 0
+    for start, end in zip(turns[::2], turns[1::2], strict=True):
+        while start < len(data) and data[start] & 0xC0 == 0x80:
+            start -= 1
+        while end < len(data) and data[end] & 0xC0 == 0x80:
+            end += 1
+        parts.append(data[at : max(at, start)])
+        at = max(at, end)
+    return b"".join([*parts, data[at:]]).decode("utf-8", "surrogatepass")
+
+
 def _remover(threshold: int, anchor: int, buckets: int):
     def use(number: int, chunk: Chunk, got: dict[int, dict[int, bytes]]) -> pa.Table:
         gone = removed_bytes(chunk, got, threshold, anchor, buckets)
         data = np.frombuffer(chunk.data, np.uint8)
         rows = []
-        for doc_id, start, end in zip(chunk.ids.tolist(), chunk.starts.tolist(), chunk.ends.tolist(), strict=True):
+        places = zip(chunk.ids.tolist(), chunk.starts.tolist(), chunk.ends.tolist(), chunk.carried, strict=True)
+        for doc_id, start, end, carried in places:
             part = gone[start:end]
             turns = np.flatnonzero(np.diff(np.concatenate([[False], part, [False]]).astype(np.int8)))
             kept = data[start:end][~part] if len(turns) else data[start:end]
@@ -335,7 +354,8 @@ def _remover(threshold: int, anchor: int, buckets: int):
                 int(part.sum()),
                 len(turns) // 2,
                 kept.tobytes(),
-                turns,
+                without(bytes(chunk.data[start:end]), turns.tolist()),
+                carried,
             ))
         columns = list(zip(*rows, strict=True)) or [[] for _ in KEPT]
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, KEPT, strict=True)], schema=KEPT)
@@ -343,20 +363,32 @@ def _remover(threshold: int, anchor: int, buckets: int):
     return use
 
 
-def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD, anchor: int | None = None) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, the kept bytes, and the removed spans as starts and ends in turn."""
+def remove_repeats(
+    docs: DataFrame,
+    threshold: int = THRESHOLD,
+    anchor: int | None = None,
+    chunk_bytes: int = CHUNK_BYTES,
+    carry: Column | None = None,
+) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, the kept bytes, their whole characters as text, and a carried string."""
     anchor = (threshold + 1) // 2 if anchor is None else anchor
-    chunks = to_chunks(id_and_text(docs))
+    ids = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce("text", F.lit("")).alias("text"),
+        (F.lit("") if carry is None else carry).alias("carry"),
+    )
+    chunks = to_chunks(ids, limit=chunk_bytes, carry=F.col("carry"))
     buckets = bucket_count(chunks)
     bits = stored(answer(ask(chunks, _ask_anchors(threshold, anchor, buckets)), _shared_anchors, kind=0), "anchors")
+    release(docs.sparkSession)
     windows = with_answers(chunks, bits, _ask_windows(threshold, anchor, buckets), BLOCKS_DDL)
-    least = answer(windows, _least_ids(threshold), kind=1)
+    least = stored(answer(windows, _least_ids(threshold), kind=1), "windows")
+    del windows
+    release(docs.sparkSession)
     return with_answers(chunks, bits.unionAll(least), _remover(threshold, anchor, buckets), KEPT_DDL)
 
 
 def q_repeats(spark, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
     return remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
