@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 
 from tallyshelf.llm.chunks import (
     BLOCKS_DDL,
-    CHUNK_BYTES,
     NO_ID,
     Chunk,
     answer,
@@ -44,6 +43,8 @@ from tallyshelf.llm.chunks import (
 from tallyshelf.llm.common import mix, pack, pack_sorted, release, stored, table, unpack, unpack_sorted
 
 THRESHOLD = 50
+CHUNK_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 ANCHOR = 25
 SLAB = 1 << 17
 POWER = np.uint64(0x9E3779B97F4A7C15)
@@ -378,7 +379,7 @@ def remove_repeats(
         (F.lit("") if carry is None else carry).alias("carry"),
     )
     chunks = to_chunks(ids, limit=chunk_bytes, carry=F.col("carry"))
-    buckets = bucket_count(chunks)
+    buckets = bucket_count(chunks, BUCKET_BYTES)
     bits = stored(answer(ask(chunks, _ask_anchors(threshold, anchor, buckets)), _shared_anchors, kind=0), "anchors")
     release(docs.sparkSession)
     windows = with_answers(chunks, bits, _ask_windows(threshold, anchor, buckets), BLOCKS_DDL)
