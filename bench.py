@@ -15,13 +15,14 @@ from pathlib import Path
 
 from tallyshelf.checks.feeds import raw_products, raw_stores, sales_text
 from tallyshelf.plans.clean import clean_products, clean_sales, clean_stores
-from tallyshelf.plans.dimensions import append_products, append_stores
+from tallyshelf.plans.dimensions import append_stores, load_products
 from tallyshelf.plans.overview import retail_sales_overview
 from tallyshelf.plans.stages import STAGES, Settings
 from tallyshelf.schemas import SALES_SCHEMA
 from tallyshelf.session import get_spark_session
 from tallyshelf.sources.files import read_sales_data
 from tallyshelf.sources.topic import Topic
+from tallyshelf.sources.warehouse import Warehouse
 from tallyshelf.streaming.landing import Landing
 
 
@@ -58,6 +59,9 @@ def main() -> None:
     sales = sales_text(spark, sf_dir).repartition(int(cpus))
     sales.write.options(**keep_blanks).csv(feed)
     sales.write.json(lines)
+    products = raw_products(spark, sf_dir)
+    products.toDF(*[c.upper() for c in products.columns]).write.parquet(f"{folder}/warehouse-rows")
+    warehouse = Warehouse("products", provider="parquet", properties={"path": f"{folder}/warehouse-rows"})
     settings = Settings(
         feed=feed,
         topic=Topic(f"{folder}/topic"),
@@ -73,7 +77,7 @@ def main() -> None:
         return retail_sales_overview(clean_sales(landed_sales()), clean_products(products), clean_stores(stores))
 
     seconds = {
-        "load_products": timed(lambda: append_products(spark, raw_products(spark, sf_dir), settings.product_table)),
+        "load_products": timed(lambda: load_products(spark, warehouse, settings.product_table)),
         "load_stores": timed(lambda: append_stores(spark, raw_stores(spark, sf_dir), settings.store_table)),
         "json_scan": timed(lambda: to_nowhere(landed_sales())),
         "clean_products": timed(lambda: to_nowhere(clean_products(spark.table(settings.product_table)))),

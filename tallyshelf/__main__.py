@@ -5,11 +5,10 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-from tallyshelf.operators.reports import preview, schema_text
-from tallyshelf.plans.dimensions import LoadReport, load_products, load_stores
-from tallyshelf.plans.stages import STAGES, Settings, run_stages
+from tallyshelf.plans.dimensions import load_products, load_stores
+from tallyshelf.plans.stages import STAGES, UPKEEP, Settings, report, run_stages
 from tallyshelf.session import get_spark_session, s3a_options
 from tallyshelf.sources.topic import Topic
 from tallyshelf.sources.warehouse import Warehouse
@@ -19,6 +18,7 @@ from tallyshelf.streaming.landing import Landing
 NEEDED = {
     "publish": ("feed", "topic"),
     "land": ("topic", "landing"),
+    "compact": ("landing",),
     "clean": ("landing",),
     "overview": (),
     "export": ("export",),
@@ -39,7 +39,7 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--run-id", default="", help="subfolder of the topic and landing folders, for an unrelated feed")
     parser.add_argument("--per-trigger", type=int, help="messages (Kafka) or files per micro-batch")
     parser.add_argument("--export", default="", help="target of the CSV export")
-    parser.add_argument("--single-file", action=argparse.BooleanOptionalAction, help="default: by size")
+    parser.add_argument("--multi-line", action="store_true", help="CSV values may have line breaks; a file is one task")
     parser.add_argument("--partition-by", nargs="*", default=[], help="columns to partition the curated table by")
     parser.add_argument("--store-csv", default="", help="headered CSV of stores")
     parser.add_argument("--warehouse-table", default="")
@@ -47,6 +47,10 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--warehouse-provider", default="jdbc")
     parser.add_argument("--warehouse-option", nargs="*", default=[], metavar="NAME=VALUE")
     parser.add_argument("--warehouse-predicate", nargs="*", default=[], help="one condition per task")
+    parser.add_argument("--warehouse-split", default="", metavar="COLUMN", help="numeric column to read in parallel by")
+    parser.add_argument("--warehouse-bounds", nargs=2, type=int, default=[0, 0], metavar=("LOW", "HIGH"))
+    parser.add_argument("--warehouse-splits", type=int, default=1, help="tasks that read the warehouse table")
+    parser.add_argument("--shuffle-tasks", type=int, default=2000, help="parts a shuffle is written in, merged by size")
     parser.add_argument("--hive", action=argparse.BooleanOptionalAction, default=True, help="use the Hive catalog")
     return parser
 
@@ -58,22 +62,15 @@ def _settings(args: argparse.Namespace) -> Settings:
         topic=Topic(args.topic if args.servers else args.topic + run, args.servers, per_trigger=args.per_trigger),
         landing=Landing(args.landing + run, file_format=args.landing_format),
         export=args.export,
-        single_file=args.single_file,
+        multi_line=args.multi_line,
         partition_by=tuple(args.partition_by),
     )
 
 
-def _report(result: object) -> None:
-    if isinstance(result, LoadReport):
-        print(f"{result.read} rows read, {result.duplicates} duplicates, {result.appended} appended")
-    elif isinstance(result, DataFrame):
-        print(schema_text(result))
-        preview(result, 10).show(truncate=False)
-
-
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.stage == "load-stores":
-        _report(load_stores(spark, args.store_csv))
+        loaded = load_stores(spark, args.store_csv, multi_line=args.multi_line)
+        print(f"{loaded.read} rows read, {loaded.duplicates} duplicates, {loaded.appended} appended")
     elif args.stage == "load-products":
         warehouse = Warehouse(
             args.warehouse_table,
@@ -81,12 +78,15 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             args.warehouse_provider,
             dict(option.split("=", 1) for option in args.warehouse_option),
             args.warehouse_predicate,
+            args.warehouse_split,
+            tuple(args.warehouse_bounds),
+            args.warehouse_splits,
         )
         load_products(spark, warehouse)
     elif args.stage == "all":
         run_stages(spark, _settings(args))
     else:
-        _report(STAGES[args.stage](spark, _settings(args)))
+        print(report(args.stage, (STAGES | UPKEEP)[args.stage](spark, _settings(args))))
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -95,8 +95,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     missing = [name for name in NEEDED[args.stage] if not getattr(args, name)]
     if missing:
         parser.error(f"{args.stage} needs " + ", ".join("--" + name.replace("_", "-") for name in missing))
-    on_s3 = any(path.startswith("s3a:") for path in (args.feed, args.landing, args.export, args.store_csv))
-    run(get_spark_session("tallyshelf", args.hive, s3a_options() if on_s3 else None), args)
+    paths = (args.feed, args.topic, args.landing, args.export, args.store_csv)
+    options = s3a_options() if any(path.startswith("s3a:") for path in paths) else None
+    run(get_spark_session("tallyshelf", args.hive, options, args.shuffle_tasks), args)
 
 
 if __name__ == "__main__":

@@ -232,12 +232,19 @@ _QUERIES = {
     "parquet_scan": "select * exclude (margin_pct), cast(null as double) as margin_pct from raw_sales",
     "catalog_read": "select *, 1 as extra from raw_products",
     "store_csv": "select * from raw_stores",
-    "row_feed": f"""
-        select sku_id, supplier_id, coalesce(cast(units_sold as varchar), '') as units_sold, count(*) as n
-        from raw_sales group by all""",
+    "row_feed": "select *, count(*) as n from raw_sales group by all",
+    "row_feed_line_breaks": """
+        select cast(p_partkey as varchar) as number, p_brand as brand,
+               case when p_partkey % 3 = 0 then 'say "' || p_name || '",' || chr(10) || 'then' || chr(10) || 'stop'
+                    else p_name end as name
+        from part""",
+    "store_csv_line_breaks": """
+        select * replace (
+            case when cast(regexp_extract(store_id, '[0-9]+') as int) % 3 = 0
+                 then 'say "' || city || '",' || chr(10) || 'then' || chr(10) || 'stop' else city end as city)
+        from raw_stores""",
     "table_roundtrip": "select * from overview",
     "partitioned_table": "select country, count(*) as n, count(distinct sku_id) as n_skus from overview group by all",
-    "csv_roundtrip": "select * from overview",
     "csv_parallel_roundtrip": "select * from overview",
     "preview_ordered": """
         select date, store_id, sku_id, year, month from raw_sales
@@ -278,7 +285,11 @@ _QUERIES = {
                cast(case when batch_id % 2 = 0 then 0 else n_rows end as bigint) as n_lines
         from envelopes""",
     "quarantined_messages": """
-        select concat('order-', cast(o_orderkey as varchar)) as key from orders where o_orderkey % 3 > 0""",
+        select concat('order-', cast(o_orderkey as varchar)) as key,
+               case when o_orderkey % 3 = 1 then '{"rows": [{"sku_id": "a"}]}'
+                    else '{"batch_id": ' || o_orderkey || ', "rows": "torn' end as value
+        from orders where o_orderkey % 3 > 0""",
+    "compacted_rows": "select * from raw_sales",
     "batch_files": "select printf('batch_%05d', batch_id) as batch, cast(n_rows as bigint) as n_rows from envelopes",
     "staged_flow": "select * from overview",
 }

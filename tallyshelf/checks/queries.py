@@ -6,10 +6,11 @@ folder first. Dates are rendered as ISO text, so that both engines' clients show
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +30,7 @@ from tallyshelf.operators.envelopes import (
 )
 from tallyshelf.operators.filters import has_keys, inside, not_negative, positive, zero_fill
 from tallyshelf.operators.joins import join_sources
-from tallyshelf.operators.reports import preview, row_counts
+from tallyshelf.operators.reports import preview, row_counts, union_rows
 from tallyshelf.plans.clean import (
     CleanTables,
     clean_products,
@@ -40,7 +41,7 @@ from tallyshelf.plans.clean import (
     normalize_stores,
     save_clean_tables,
 )
-from tallyshelf.plans.dimensions import append_products, append_stores, load_stores, product_rows
+from tallyshelf.plans.dimensions import append_products, append_stores, load_products, load_stores, product_rows
 from tallyshelf.plans.overview import apply_transformations, retail_sales_overview, save_overview
 from tallyshelf.plans.publish import publish_rows
 from tallyshelf.plans.stages import Settings, run_stages
@@ -52,8 +53,10 @@ from tallyshelf.sinks.topic import write_topic
 from tallyshelf.sources.files import read_row_feed, read_sales_data, read_store_csv
 from tallyshelf.sources.tables import read_hive_table
 from tallyshelf.sources.topic import Topic, read_topic
+from tallyshelf.sources.warehouse import Warehouse
 from tallyshelf.streaming.landing import (
     Landing,
+    compact,
     land,
     landed_batches,
     landing_totals,
@@ -77,11 +80,23 @@ def _counted(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _database(spark: SparkSession) -> str:
+    """A database of its own in the scratch space, dropped when the process ends."""
     name = f"check_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, name)}'")
+    _DATABASES.append((spark, name))
     return name
 
 
+_DATABASES: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def _drop_databases() -> None:
+    for spark, name in _DATABASES:
+        if spark.sparkContext._jsc is not None:
+            spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
 # Whole jobs
 
 
@@ -313,7 +328,35 @@ def _sales_csv(spark: SparkSession, sf: str) -> str:
 
 
 def q_row_feed(spark: SparkSession, sf: str) -> DataFrame:
-    return _counted(read_row_feed(spark, _sales_csv(spark, sf)), "sku_id", "supplier_id", "units_sold")
+    feed = coerce_columns(read_row_feed(spark, _sales_csv(spark, sf)), SALES_SCHEMA)
+    return _counted(feed, *feed.columns)
+
+
+def _broken_lines(column: str) -> Column:
+    """Text with quotes, a comma and line breaks in every third row."""
+    return F.when(F.col("number") % 3 == 0, F.concat(F.lit('say "'), F.col(column), F.lit('",\nthen\nstop')))
+
+
+def q_row_feed_line_breaks(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "feed")
+    parts = table(spark, sf, "part").select(F.col("p_partkey").alias("number"), "p_name", "p_brand")
+    text = parts.select(
+        F.col("number").cast("string").alias("number"),
+        F.coalesce(_broken_lines("p_name"), "p_name").alias("name"),
+        F.col("p_brand").alias("brand"),
+    )
+    text.write.options(header=True, quoteAll=True, escape='"').csv(path)
+    return read_row_feed(spark, path, multi_line=True)
+
+
+def q_store_csv_line_breaks(spark: SparkSession, sf: str) -> DataFrame:
+    """Stores whose city has two lines, columns in another order than declared."""
+    path = scratch_path(spark, "stores")
+    stores = raw_stores(spark, sf).withColumn("number", F.regexp_extract("store_id", r"(\d+)", 1).cast("int"))
+    stores = stores.withColumn("city", F.coalesce(_broken_lines("city"), "city")).drop("number")
+    keep_blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    stores.select(*reversed(stores.columns)).write.options(header=True, quoteAll=True, escape='"', nullValue="", emptyValue="", **keep_blanks).csv(path)
+    return read_store_csv(spark, path, multi_line=True)
 
 
 def q_table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -328,21 +371,13 @@ def q_partitioned_table(spark: SparkSession, sf: str) -> DataFrame:
     return saved.groupBy("country").agg(F.count("*").alias("n"), F.countDistinct("sku_id").alias("n_skus"))
 
 
-def _exported(spark: SparkSession, sf: str, single_file: bool) -> DataFrame:
+def q_csv_parallel_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "export")
     curated = _overview(spark, sf)
-    export_csv(curated, path, single_file)
+    export_csv(curated, path)
     return _dates_as_text(spark.read.option("header", True).schema(curated.schema).csv(path))
 
 
-def q_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    return _exported(spark, sf, single_file=True)
-
-
-def q_csv_parallel_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    return _exported(spark, sf, single_file=False)
-
-
 def q_preview_ordered(spark: SparkSession, sf: str) -> DataFrame:
     columns = ("date", "store_id", "sku_id", "year", "month")
     return preview(raw_sales(spark, sf), 5, columns, order_by=columns)
@@ -371,8 +406,10 @@ def _warehouse_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_load_products(spark: SparkSession, sf: str) -> DataFrame:
-    name = f"{_database(spark)}.products"
-    append_products(spark, _warehouse_rows(spark, sf), name)
+    """From files, as a JDBC read needs a database."""
+    name, path = f"{_database(spark)}.products", scratch_path(spark, "warehouse")
+    _warehouse_rows(spark, sf).write.parquet(path)
+    load_products(spark, Warehouse("products", provider="parquet", properties={"path": path}), name)
     return spark.table(name)
 
 
@@ -387,7 +424,7 @@ def q_nan_to_null(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_union_all(spark: SparkSession, sf: str) -> DataFrame:
     products = raw_products(spark, sf)
-    return products.unionByName(products)
+    return union_rows(products, products)
 
 
 # Counts
@@ -480,6 +517,16 @@ def q_redelivered_rows(spark: SparkSession, sf: str) -> DataFrame:
     return read_landed(spark, landing)
 
 
+def q_compacted_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The same feed three times, then compacted."""
+    topic, landing = _landed(spark, sf)
+    for _ in range(2):
+        publish_rows(spark, sales_text(spark, sf), topic)
+        land(read_topic(spark, topic), landing)
+    compact(spark, landing)
+    return read_landed(spark, landing)
+
+
 def q_resent_empty(spark: SparkSession, sf: str) -> DataFrame:
     """Every second batch is sent again without rows: the manifest and the rows agree on that."""
     topic, landing = _landed(spark, sf)
@@ -501,7 +548,7 @@ def q_quarantined_messages(spark: SparkSession, sf: str) -> DataFrame:
     key = F.format_string("order-%d", "o_orderkey")
     write_topic(table(spark, sf, "orders").select(key.alias("key"), value.alias("value")), topic)
     land(read_topic(spark, topic), landing)
-    return read_quarantine(spark, landing).select("key")
+    return read_quarantine(spark, landing)
 
 
 def q_batch_files(spark: SparkSession, sf: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tallyshelf import fixed_values as fixed
 from tallyshelf.functions import envelope as env
+from tallyshelf.operators.joins import broadcast_rows_if_few
 
 # `monotonically_increasing_id` holds the partition in the upper bits and a row count in the rest.
 _ROW_BITS = 33
@@ -46,8 +47,10 @@ def number_rows(df: DataFrame, staging: str) -> DataFrame:
     staged = spark.read.schema(schema).parquet(staging)
 
     counts = staged.groupBy(_part().alias("part")).agg(F.count("*").alias("n"))
-    # Two longs per task of the staging job, however many rows there are.
-    before = F.broadcast(_rows_before(counts))
+    # Two longs per task of the staging job; None where there are no rows.
+    before = broadcast_rows_if_few(_rows_before(counts))
+    if before is None:
+        return staged.select(F.lit(0).cast("long").alias("number"), "row")
     in_part = F.col("position").bitwiseAND((1 << _ROW_BITS) - 1)
     return staged.join(before, _part() == F.col("part")).select(
         (F.col("before") + in_part + 1).alias("number"), "row"
@@ -58,10 +61,13 @@ def pack_envelopes(df: DataFrame, staging: str, size: int = fixed.ENVELOPE_ROWS)
     """(batch_id, rows): consecutive rows in envelopes of `size`, numbered from 1; the last may be short."""
     first = F.col("number") - 1
     batch_id = ((first - first % size) / size + 1).cast("int")
+    # Dealt out by batch first, so that lists are built once and not merged from the map tasks' parts.
     entries = F.collect_list(F.struct("number", "row"))
     return (
         number_rows(df, staging)
-        .groupBy(batch_id.alias("batch_id"))
+        .withColumn("batch_id", batch_id)
+        .repartition("batch_id")
+        .groupBy("batch_id")
         .agg(F.array_sort(entries).alias("entries"))
         .select("batch_id", F.transform("entries", lambda entry: entry["row"]).alias("rows"))
     )

@@ -17,6 +17,8 @@ from tallyshelf.session import planned_bytes
 
 BROADCAST_BYTES = 256 * 1024 * 1024
 BROADCAST_ROWS = 1_000_000
+# Files that are read for a dimension may be so many times its broadcast limit, as it drops rows and columns.
+READ_RATIO = 4
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -34,9 +36,9 @@ def measured_bytes(df: DataFrame) -> int:
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast if the frame is measured to fit in `limit` bytes, else leave it alone.
 
-    A frame whose planned size is beyond the limit is not measured, so a huge one is not scanned.
+    A frame that reads more than `READ_RATIO` limits is not measured, so a huge one is not scanned.
     """
-    if planned_bytes(df) > limit or measured_bytes(df) > limit:
+    if planned_bytes(df) > READ_RATIO * limit or measured_bytes(df) > limit:
         return df
     return F.broadcast(df)
 
@@ -49,6 +51,12 @@ def broadcast_rows_if_few(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if rows <= limit else df
 
 
-def join_sources(sales: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:
-    """Sales with their product and store; sales without either are left out."""
+def join_sources(
+    sales: DataFrame, products: DataFrame, stores: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Sales with their product and store; sales without either are left out.
+
+    A dimension is broadcast if it is measured to be small, which runs it once to look.
+    """
+    products, stores = (broadcast_if_small(df, broadcast_bytes) for df in (products, stores))
     return sales.join(products, "sku_id").join(stores, "store_id")

@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyshelf import fixed_values as fixed
 from tallyshelf.functions import labels, money
-from tallyshelf.operators.joins import BROADCAST_BYTES, broadcast_if_small, join_sources
+from tallyshelf.operators.joins import BROADCAST_BYTES, join_sources
 from tallyshelf.plans.clean import CleanTables
-from tallyshelf.session import sized_tasks
 from tallyshelf.sinks.tables import save_table
 
 
@@ -33,9 +32,18 @@ def build_final_df(enriched: DataFrame) -> DataFrame:
     return enriched.select(*fixed.OVERVIEW_COLUMNS)
 
 
-def retail_sales_overview(sales: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:
-    """The curated rows of three clean frames."""
-    return join_sources(sales, products, stores).transform(apply_transformations).transform(build_final_df)
+def retail_sales_overview(
+    sales: DataFrame, products: DataFrame, stores: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """The curated rows of three clean frames.
+
+    Only columns that reach the result are measured and broadcast. With both dimensions broadcast
+    this is one pass over the sales without a shuffle.
+    """
+    wanted = {*fixed.OVERVIEW_COLUMNS, "sku_id", "store_id"}
+    dimensions = (df.select(*[c for c in df.columns if c in wanted]) for df in (products, stores))
+    joined = join_sources(sales, *dimensions, broadcast_bytes)
+    return joined.transform(apply_transformations).transform(build_final_df)
 
 
 def save_overview(
@@ -45,16 +53,6 @@ def save_overview(
     partition_by: Sequence[str] = (),
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Build the curated table from the clean tables.
-
-    With both dimensions broadcast this is one pass over the sales without a shuffle.
-    """
-    sales = spark.table(clean.sales)
-    # Only columns that reach the result are measured and broadcast.
-    kept = set(fixed.OVERVIEW_COLUMNS)
-    products = spark.table(clean.products)
-    stores = spark.table(clean.stores)
-    products = broadcast_if_small(products.select(*[c for c in products.columns if c in kept]), broadcast_bytes)
-    stores = broadcast_if_small(stores.select(*[c for c in stores.columns if c in kept]), broadcast_bytes)
-    with sized_tasks(spark, sales):
-        return save_table(retail_sales_overview(sales, products, stores), table, partition_by)
+    """Build the curated table from the clean tables."""
+    frames = (spark.table(name) for name in (clean.sales, clean.products, clean.stores))
+    return save_table(retail_sales_overview(*frames, broadcast_bytes), table, partition_by)

@@ -1,32 +1,34 @@
-"""Sessions, object-store settings, shared scratch space and shuffle sizing."""
+"""Sessions, object-store settings, shared scratch space and planned sizes."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
-SHUFFLE_SETTING = "spark.sql.shuffle.partitions"
-SCAN_SETTING = "spark.sql.files.maxPartitionBytes"
-
-# Bytes of input, compressed as a rule, that one shuffle task should handle, and the most tasks a
-# stage should have: the driver keeps track of scan tasks times shuffle tasks.
-SHUFFLE_TASK_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_TASKS = 50_000
-MAX_SCAN_TASKS = 100_000
+INITIAL_TASKS_SETTING = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def get_spark_session(
     app_name: str = "retail_sales",
     hive: bool = True,
     options: Mapping[str, str] | None = None,
+    shuffle_tasks: int | None = None,
 ) -> SparkSession:
-    """A session in UTC with adaptive execution, on the Hive catalog unless `hive` is off."""
+    """A session in UTC with adaptive execution, on the Hive catalog unless `hive` is off.
+
+    `shuffle_tasks` is how many parts a shuffle is written in before adaptive execution merges those
+    that turn out small. It cannot split a plain aggregation's parts, so the number should suit the
+    largest input: its compressed bytes by what a task can hold.
+    """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
@@ -35,6 +37,8 @@ def get_spark_session(
         # HotSpot does not compile longer methods; a stage that has one runs faster in smaller pieces.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
+    if shuffle_tasks:
+        builder = builder.config(INITIAL_TASKS_SETTING, str(shuffle_tasks))
     for name, value in (options or {}).items():
         builder = builder.config(name, value)
     if hive:
@@ -43,21 +47,18 @@ def get_spark_session(
 
 
 def s3a_options(environ: Mapping[str, str] = os.environ) -> dict[str, str]:
-    """Session options for s3a paths: explicit keys when both are set, else the default providers."""
-    region = environ.get("AWS_REGION", "ap-south-1")
-    options = {
-        "spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
-        "spark.hadoop.fs.s3a.endpoint": f"s3.{region}.amazonaws.com",
-        "spark.hadoop.fs.s3a.endpoint.region": region,
-    }
-    access = environ.get("AWS_ACCESS_KEY_ID") or environ.get("AWS_ACCESS_KEY")
-    secret = environ.get("AWS_SECRET_ACCESS_KEY") or environ.get("AWS_SECRET_KEY")
-    if access and secret:
-        options["spark.hadoop.fs.s3a.access.key"] = access
-        options["spark.hadoop.fs.s3a.secret.key"] = secret
-        options["spark.hadoop.fs.s3a.aws.credentials.provider"] = (
-            "org.apache.hadoop.fs.s3a.SimpleAWSCredentialsProvider"
-        )
+    """Session options for s3a paths that the connector's default providers don't find by themselves.
+
+    The standard variables, temporary credentials included, are left to these providers. A region is
+    only set if one is given. Keys under their short names are passed on as a fixed pair.
+    """
+    options = {}
+    if region := environ.get("AWS_REGION") or environ.get("AWS_DEFAULT_REGION"):
+        options["spark.hadoop.fs.s3a.endpoint.region"] = region
+    short = [environ.get(name) for name in ("AWS_ACCESS_KEY", "AWS_SECRET_KEY")]
+    if all(short) and not environ.get("AWS_ACCESS_KEY_ID"):
+        for name, value in zip(("access.key", "secret.key"), short, strict=True):
+            options[f"spark.hadoop.fs.s3a.{name}"] = value
     return options
 
 
@@ -68,7 +69,21 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"{CHECKPOINT_SETTING} must name a folder that all executors share")
-    return tempfile.mkdtemp(prefix="run-")
+    return _own_root()
+
+
+@cache
+def _own_root() -> str:
+    """One folder for all scratch data of a local session, removed when the process ends."""
+    folder = tempfile.mkdtemp(prefix="run-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder on any file system, if it is there."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -83,36 +98,10 @@ def scratch_folder(spark: SparkSession, label: str) -> Iterator[str]:
     try:
         yield path
     finally:
-        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+        remove_path(spark, path)
 
 
 def planned_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a frame: file sizes for a scan, carried up through the plan."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def task_sizes(input_bytes: int, shuffle_partitions: int, scan_bytes: int) -> tuple[int, int]:
-    """Shuffle partitions and bytes per scan task for an input, at least the given ones."""
-    wanted = min(input_bytes // SHUFFLE_TASK_BYTES + 1, MAX_SHUFFLE_TASKS)
-    return max(shuffle_partitions, wanted), max(scan_bytes, input_bytes // MAX_SCAN_TASKS)
-
-
-@contextmanager
-def sized_tasks(spark: SparkSession, *inputs: DataFrame) -> Iterator[None]:
-    """Raise the shuffle partition count and the scan split size to suit the inputs while a job runs.
-
-    AQE merges partitions that turn out small but cannot split a plain aggregation's partitions,
-    so the count must be large enough before the job starts.
-    """
-    before = {name: spark.conf.get(name) for name in (SHUFFLE_SETTING, SCAN_SETTING)}
-    scan_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before[SCAN_SETTING])
-    input_bytes = sum(planned_bytes(df) for df in inputs)
-    partitions, split = task_sizes(input_bytes, int(before[SHUFFLE_SETTING]), scan_bytes)
-    spark.conf.set(SHUFFLE_SETTING, str(partitions))
-    spark.conf.set(SCAN_SETTING, f"{split}b")
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
+    """Catalyst's size estimate of all that a frame reads: the sum over its scans, whatever joins them."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyshelf import fixed_values as fixed
-from tallyshelf.checks import feeds
+from tallyshelf.checks import feeds, queries
+from tallyshelf.operators import joins
 from tallyshelf.operators.columns import coerce_columns
 from tallyshelf.operators.dedup import newest_per_key
 from tallyshelf.operators.joins import broadcast_if_small, broadcast_rows_if_few, join_sources, measured_bytes
@@ -109,6 +110,19 @@ def test_the_overview_is_one_narrow_pass_over_clean_tables(spark, tmp_path):
     assert dict(overview.dtypes)["date"] == "date"
 
 
+def test_the_registered_overview_broadcasts_both_dimensions_behind_a_check(spark, monkeypatch):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        text = plan(queries.q_retail_sales_overview(spark, SF_DIR))
+        sales = text[text.index("BroadcastHashJoin") :]
+        assert sales.count("BroadcastHashJoin [") + sales.count("BroadcastHashJoin") >= 2
+        # The only exchange of the sales is that of their duplicates.
+        wide = [line for line in text.splitlines() if "Exchange hashpartitioning" in line and "units_sold" in line]
+        assert len(wide) == 1
+        monkeypatch.setattr(joins, "measured_bytes", lambda df: 1 << 40)
+        text = plan(queries.q_retail_sales_overview(spark, SF_DIR))
+        assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
+
+
 def test_cleaning_sales_is_one_shuffle_with_partial_aggregation(spark, tmp_path):
     feeds.raw_sales(spark, SF_DIR).write.parquet(f"{tmp_path}/sales")
     text = plan(clean_sales(spark.read.parquet(f"{tmp_path}/sales")))

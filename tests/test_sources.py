@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,7 +86,7 @@ def test_parquet_is_read_as_declared(spark, tmp_path):
 
 
 def test_other_formats_are_refused(spark):
-    with pytest.raises(ValueError, match="Unsupported sales data format: orc"):
+    with pytest.raises(ValueError, match="not 'orc'"):
         read_sales_data(spark, "anywhere", SALES_SCHEMA, "orc")
 
 
@@ -107,6 +109,35 @@ def test_store_csv_goes_by_column_names(spark, tmp_path):
     assert read_store_csv(spark, f"{tmp_path}/s").schema == STORES_SCHEMA
 
 
+def failed(frame) -> str:
+    with pytest.raises(Exception) as caught:
+        frame().collect()
+    return str(caught.value)
+
+
+def test_files_with_other_headers_are_an_error(spark, tmp_path):
+    write_lines(tmp_path / "s", "a.csv", "store_id,country,city,channel,latitude,longitude", "s1,Chile,c,web,1,2")
+    write_lines(tmp_path / "s", "b.csv", "country,store_id,city,channel,latitude,longitude", "Peru,s2,c,web,1,2")
+    write_lines(tmp_path / "f", "a.csv", "sku_id,units_sold", "k,3")
+    write_lines(tmp_path / "f", "b.csv", "units_sold,sku_id", "3,k")
+    for read in (lambda: read_store_csv(spark, f"{tmp_path}/s"), lambda: read_row_feed(spark, f"{tmp_path}/f")):
+        assert "header" in failed(read).lower()
+    write_lines(tmp_path / "f", "b.csv", "sku_id,units_sold", "m,4")
+    assert sorted(map(tuple, read_row_feed(spark, f"{tmp_path}/f").collect())) == [("k", "3"), ("m", "4")]
+
+
+def test_line_breaks_in_values(spark, tmp_path):
+    write_lines(tmp_path / "f", "a.csv", "sku_id,name,units_sold", '"a', 'b",x,3', "k,y,4")
+    assert "alformed" in failed(lambda: read_row_feed(spark, f"{tmp_path}/f"))
+    rows = read_row_feed(spark, f"{tmp_path}/f", multi_line=True).collect()
+    assert sorted(map(tuple, rows)) == [("a\nb", "x", "3"), ("k", "y", "4")]
+    header = "store_id,country,city,channel,latitude,longitude"
+    write_lines(tmp_path / "s", "a.csv", header, 's1,Chile,"two', 'lines",web,1,2')
+    assert "alformed" in failed(lambda: read_store_csv(spark, f"{tmp_path}/s"))
+    assert "alformed" in failed(lambda: read_store_csv(spark, f"{tmp_path}/s").select("store_id"))
+    assert read_store_csv(spark, f"{tmp_path}/s", multi_line=True).first() == ("s1", "Chile", "two\nlines", "web", 1.0, 2.0)
+
+
 def test_row_feed_is_text_and_has_no_nulls(spark, tmp_path):
     write_lines(tmp_path / "f", "a.csv", "sku_id,units_sold", " k ,3", ",4", "m,")
     rows = [tuple(r) for r in read_row_feed(spark, f"{tmp_path}/f").collect()]
@@ -135,6 +166,21 @@ def test_warehouse_options():
     assert connector.options() == {"dbtable": "t", "sfURL": "x"}
 
 
+def test_warehouse_predicates_are_tasks():
+    asked = {}
+
+    class Reader:
+        def jdbc(self, url, table, **others):
+            asked.update(url=url, table=table, **others)
+
+    source = Warehouse("t", "jdbc:x", predicates=["n < 5", "n >= 5"], properties={"user": "u"})
+    read_warehouse_table(SimpleNamespace(read=Reader()), source)
+    assert asked == {
+        "url": "jdbc:x", "table": "t", "predicates": ["n < 5", "n >= 5"],
+        "properties": {"user": "u", "fetchsize": "10000"},
+    }
+
+
 def test_warehouse_connector_reads_any_provider(spark, tmp_path):
     spark.range(3).write.parquet(f"{tmp_path}/w")
     source = Warehouse("unused", provider="parquet", properties={"path": f"{tmp_path}/w"})
@@ -175,7 +221,7 @@ def test_reports(spark):
 def test_required_values_are_searched_beyond_the_first_rows(spark):
     late = F.when(F.col("id") == 99, F.col("id")).alias("late")
     df = spark.range(100, numPartitions=5).select(late, F.lit(None).alias("never"))
-    assert require_values(df, ("late",), head=3) is df
+    assert require_values(df, ("late",)) is df
     with pytest.raises(ValueError, match="never"):
-        require_values(df, ("late", "never"), head=3)
+        require_values(df, ("late", "never"))
     require_values(df.limit(0), ("never",))
