@@ -46,7 +46,7 @@ from tallyshelf.plans.overview import apply_transformations, retail_sales_overvi
 from tallyshelf.plans.publish import publish_rows
 from tallyshelf.plans.stages import Settings, run_stages
 from tallyshelf.schemas import SALES_SCHEMA, PRODUCTS_SCHEMA
-from tallyshelf.session import scratch_path
+from tallyshelf.session import remove_path, scratch_root
 from tallyshelf.sinks.csv_files import export_csv
 from tallyshelf.sinks.tables import save_table
 from tallyshelf.sinks.topic import write_topic
@@ -87,14 +87,27 @@ def _database(spark: SparkSession) -> str:
     return name
 
 
+# One scratch folder for all queries of a process, and the databases in it.
+_RUN = f"checks-{uuid.uuid4().hex}"
+_FOLDERS: dict[str, SparkSession] = {}
 _DATABASES: list[tuple[SparkSession, str]] = []
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    folder = f"{scratch_root(spark)}/{_RUN}"
+    _FOLDERS[folder] = spark
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
 @atexit.register
-def _drop_databases() -> None:
+def _clean_up() -> None:
+    """At the end of the process, as queries return frames that still read their scratch data."""
     for spark, name in _DATABASES:
         if spark.sparkContext._jsc is not None:
             spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    for folder, spark in _FOLDERS.items():
+        if spark.sparkContext._jsc is not None:
+            remove_path(spark, folder)
 
 
 # Whole jobs
