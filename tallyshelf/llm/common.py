@@ -5,7 +5,9 @@ from __future__ import annotations
 import gc
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterator, Sequence
+from itertools import count
 from pathlib import Path
 
 import numpy as np
@@ -110,6 +112,15 @@ def unpack_sorted(gaps: np.ndarray) -> np.ndarray:
     return np.cumsum(gaps, dtype=gaps.dtype)
 
 
+def numbering(start: int = 0) -> defaultdict:
+    """A dictionary that numbers what is looked up in it, in the order it is first seen."""
+    return defaultdict(count(start).__next__)
+
+
+def numbered(numbers: defaultdict, words: Sequence) -> np.ndarray:
+    return np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+
+
 def mix(keys: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = keys.astype(np.uint64)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyshelf.llm.common import sample_by_hash, split_of, table, text_groups
+from tallyshelf.llm.common import numbered, numbering, sample_by_hash, split_of, table, text_groups
 
 PIECE = 20
 GROUP_BYTES = 6 << 20
@@ -178,8 +178,8 @@ def train(
 
 def pooled(texts: list[str], net: Network, slab: int = 1 << 14) -> np.ndarray:
     """Mean probabilities over all byte positions of each text's words; zeros for a text without words."""
-    numbers: dict[bytes, int] = {}
-    rows = [np.array([numbers.setdefault(x, len(numbers)) for x in t.encode().split()], np.int64) for t in texts]
+    numbers = numbering()
+    rows = [numbered(numbers, t.encode().split()) for t in texts]
     parts: dict[int, tuple[list[bytes], list[int]]] = {}
     for word, number in numbers.items():
         for piece in cut(word) if len(word) > PIECE else (word,):

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tallyshelf.llm.common import id_and_text, table, text_groups
+from tallyshelf.llm.common import id_and_text, numbered, numbering, table, text_groups
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -208,11 +208,10 @@ def encode_units(units: list[str], v: Vocabulary) -> tuple[np.ndarray, np.ndarra
 
 def encode_texts(texts: list[str], v: Vocabulary) -> list[np.ndarray]:
     """Token ids of each text."""
-    numbers: dict[str, int] = {}
-    rows = []
-    for text in texts:
-        units = v.unit.findall(MARK + text.replace(" ", MARK)) if text else []
-        rows.append(np.array([numbers.setdefault(u, len(numbers)) for u in units], dtype=np.int64))
+    numbers = numbering()
+    rows = [
+        numbered(numbers, v.unit.findall(MARK + text.replace(" ", MARK)) if text else []) for text in texts
+    ]
     if not numbers:
         return [np.empty(0, np.int32) for _ in texts]
     ids, counts = encode_units(list(numbers), v)
