@@ -104,7 +104,8 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 def by_bucket(buckets: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     """An order that puts the same bucket together and keeps the order in it, and each bucket's end."""
-    order = np.argsort(buckets, kind="stable")
+    # Numbers of two bytes are sorted by radix.
+    order = np.argsort(buckets.astype(np.uint16) if count < 1 << 16 else buckets, kind="stable")
     return order, np.cumsum(np.bincount(buckets, minlength=count))
 
 
