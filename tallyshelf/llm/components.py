@@ -2,11 +2,40 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyshelf.llm.common import stored
 
+LINKS_IN_A_PART = 1_000_000
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links each node of a part to the least node that the part's links join it with."""
+    root: dict = {}
+
+    def find(node):
+        while (up := root.setdefault(node, node)) != node:
+            root[node] = node = root.setdefault(up, up)
+        return node
+
+    names = None
+    for batch in batches:
+        names = names or batch.schema
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = find(u), find(v)
+            if a != b:
+                root[max(a, b)] = min(a, b)
+    if names is not None:
+        pairs = [(node, find(node)) for node in list(root)]
+        pairs = [(u, v) for u, v in pairs if u != v]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([p[k] for p in pairs], names.field(k).type) for k in (0, 1)], schema=names
+        )
+
 
 def _large_star(links: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's least neighbour."""
@@ -30,12 +59,17 @@ def _sum(links: DataFrame) -> tuple:
 def components(links: DataFrame) -> DataFrame:
     """node and root (the least key of its component) for links (a, b); nodes without links don't come.
 
-    Each round is stored, so a lost executor costs a round at most. The number of rounds grows with the
-    logarithm of the component's size. Sums by node are taken before the shuffle, so a hot node is no hot task.
+    Parts of LINKS_IN_A_PART links are joined up within a task first. Each round after that is stored, so a
+    lost executor costs a round at most, and their number grows with the logarithm of the number of parts that a
+    component is spread over. Least neighbours are taken before the shuffle, so a hot node is no hot task.
     """
-    now = stored(
+    given = stored(
         links.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links"
     )
+    # Long chains become stars where one part holds them; parts have a bounded number of links.
+    parts = given.count() // LINKS_IN_A_PART + 1
+    kinds = {f.name: f.dataType.simpleString() for f in given.schema.fields}
+    now = stored(given.repartition(parts).mapInArrow(_contract, ", ".join(f"{n} {t}" for n, t in kinds.items())), "links")
     before = _sum(now)
     while True:
         now = stored(_small_star(_large_star(now)), "links")
