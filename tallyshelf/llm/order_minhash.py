@@ -26,8 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyshelf.llm.common import mix, stored, table, text_groups
+from tallyshelf.llm.common import mix, numbered, numbering, stored, table, text_groups
 from tallyshelf.llm.components import components
+from tallyshelf.operators.joins import broadcast_rows_if_few
 
 SHINGLE = 5
 PICKS = 2
@@ -36,6 +37,8 @@ SIMILARITY = 0.8
 PARTS = 16
 BINS = 256
 FIRST_BAND = 8
+# Rows of a digest and an id that are broadcast at most; more are joined by shuffle.
+SLIM_ROWS = 500_000
 GROUP_BYTES = 4 << 20
 LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -51,11 +54,8 @@ KEYS_DDL = "doc_id long, body binary, keys array<long>, n_words long, profile bi
 
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in a row, and the words of each text. Equal words have equal hashes in any task."""
-    numbers: dict[bytes, int] = {}
-    rows = []
-    for text in texts:
-        words = text.encode("utf-8", "surrogatepass").split()
-        rows.append(np.array([numbers.setdefault(w, len(numbers)) for w in words], np.int64))
+    numbers = numbering()
+    rows = [numbered(numbers, text.encode("utf-8", "surrogatepass").split()) for text in texts]
     if not numbers:
         return np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
     joined = np.frombuffer(b" ".join(numbers) + b" ", np.uint8).astype(np.uint64)
@@ -159,10 +159,12 @@ def banded_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
         return m if m <= limit else None
     values, number = np.unique(np.concatenate([a, b]), return_inverse=True)
     lack = np.bincount(number[n:], minlength=len(values)) - np.bincount(number[:n], minlength=len(values))
-    if lack[lack > 0].sum() > limit:
+    least = int(lack[lack > 0].sum())
+    if least > limit:
         return None
     a, b = number[:n], number[n:]
-    band = min(limit, max(FIRST_BAND, m - n))
+    # Words that one side lacks are edits, so a narrower band would be in vain.
+    band = min(limit, max(FIRST_BAND, least + least // 4))
     while True:
         found = _in_band(a, b, band)
         if found is not None and found <= band:
@@ -205,8 +207,8 @@ def similar(a: list[bytes], b: list[bytes], similarity: float) -> bool:
     limit = int((1 - similarity) * max(len(a), len(b)) + 1e-9)
     if abs(len(a) - len(b)) > limit:
         return False
-    numbers: dict[bytes, int] = {}
-    x, y = (np.array([numbers.setdefault(w, len(numbers)) for w in words], np.int64) for words in (a, b))
+    numbers = numbering()
+    x, y = numbered(numbers, a), numbered(numbers, b)
     return banded_distance(x, y, limit) is not None
 
 
@@ -267,7 +269,9 @@ def near_classes(
     sketched = stored(texts.mapInArrow(_sketcher(shingle, picks, sketches), KEYS_DDL), "sketches")
     firsts = [F.first(c).alias(c) for c in ("keys", "n_words", "profile")]
     bodies = stored(sketched.groupBy("body").agg(F.min("doc_id").alias("rep"), *firsts), "bodies")
-    buckets = stored(bodies.select("body", F.explode("keys").alias("key")), "buckets")
+    buckets = bodies.select("body", F.explode("keys").alias("key"))
+    shared = buckets.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    buckets = stored(buckets.join(shared, "key"), "buckets")
     small = bodies.select("body", "rep")
 
     links, tried, roots = None, None, None
@@ -283,8 +287,10 @@ def near_classes(
                                F.col(side) == F.col(f"body_{side}")).drop(f"body_{side}")
         pairs = stored(pairs.mapInArrow(_screener(similarity), "a binary, b binary"), "screened")
         wanted = pairs.select(F.col("a").alias("body")).unionAll(pairs.select(F.col("b").alias("body"))).distinct()
-        chosen = wanted.join(small, "body")
-        words = texts.join(chosen.select("body", "rep"), "body", "inner").filter(F.col("doc_id").eqNullSafe(F.col("rep")))
+        chosen = broadcast_rows_if_few(stored(wanted.join(small, "body").select("body", "rep"), "wanted"), SLIM_ROWS)
+        if chosen is None:
+            break
+        words = texts.join(chosen, "body").filter(F.col("doc_id").eqNullSafe(F.col("rep")))
         words = stored(words.select("body", "text").dropDuplicates(["body"]), "candidates")
         both = (
             pairs.join(words.select(F.col("body").alias("a"), F.col("text").alias("x")), "a")
