@@ -1,0 +1,456 @@
+"""Language-model scores, token counts, encoding, extraction, language and licences."""
+
+from __future__ import annotations
+
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tallyshelf.llm import language, licences, main_text, pieces, pitman_yor, quality, token_counts
+from tests.llm.cases import DOCS, SF_DIR, docs_frame, duckdb_result, rows_of
+
+TEXTS = [t or "" for _, t in DOCS]
+
+
+# 1, scores
+
+
+def by_hand(rows, learn):
+    count = Counter()
+    for key, text in rows:
+        if learn(key):
+            count.update([*text.encode().lower().split(), b" "])
+    total, distinct = sum(count.values()), len(count)
+    out = []
+    for key, text in rows:
+        tokens = [*text.encode().lower().split(), b" "]
+        base = sum(math.log10((count[w] + 1) / (total + distinct + 1)) for w in tokens)
+        out.append((key, len(tokens), sum(count[w] > 0 for w in tokens), total, round(base, 6)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("chunk_bytes", [200, 1 << 20])
+def test_base_scores_are_those_by_hand(spark, chunk_bytes):
+    found = pitman_yor.score_texts(docs_frame(spark), chunk_bytes=chunk_bytes).collect()
+    found = sorted(((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in found), key=str)
+    learn = lambda key: key is None or zlib.crc32(str(key).encode()) % 7 != 2
+    assert found == by_hand([(k, t or "") for k, t in DOCS], learn)
+
+
+def test_scores_do_not_depend_on_the_chunks(spark):
+    docs = docs_frame(spark)
+    whole = {(r.doc_id, r.n_tokens, round(r.score, 9)) for r in pitman_yor.score_texts(docs).collect()}
+    parts = {(r.doc_id, r.n_tokens, round(r.score, 9)) for r in pitman_yor.score_texts(docs, chunk_bytes=150).collect()}
+    assert whole == parts and all(score <= 0 for *_, score in whole)
+
+
+def test_shares_of_texts_stay_below_one(spark):
+    train = [(k, "a b a c. b a b b a c. c") for k in range(40)] + [(k, "b c. a a") for k in range(40, 60)]
+    heard, unheard = ["a", "b", "c", "c."], "unheard"
+    contexts = ["", *heard, unheard]
+    texts = sorted({f"{v} {w}".strip() for v in contexts for w in [*heard, unheard, ""]} | {""})
+    docs = spark.createDataFrame(train + [(1000 + k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    scored = pitman_yor.score_texts(docs, learn=F.col("doc_id") < 1000).filter("doc_id >= 1000").collect()
+    score = {texts[r.doc_id - 1000]: r.score for r in scored}
+    assert all(math.isfinite(x) and x < 0 for x in score.values())
+    # Shares of different texts never add up to more than one.
+    assert sum(10 ** score[t] for t in texts) < 1
+
+
+def test_model_shares_add_up_to_one():
+    rng = np.random.default_rng(3)
+    n = 50
+    model = pitman_yor.Model(0, n, 0.7, 0.6, 1.0)
+    customers, tables = rng.integers(1, 30, n), np.ones(n, int)
+    columns = np.stack([np.zeros(n, int), customers, tables])
+    model.parents.append((customers.sum(), tables.sum()))
+    parent = model.parent_p(columns, 0)
+    unheard = (1.0 + 0.6 * tables.sum()) * model.base / (1.0 + customers.sum())
+    assert parent.sum() + unheard == pytest.approx(1.0)
+
+
+def test_seating_keeps_within_customers_and_repeats_itself():
+    customers = np.array([1, 2, 5, 64, 65, 100_000])
+    keys = np.arange(6, dtype=np.uint64)
+    args = (keys, customers, np.zeros(6), np.full(6, 0.01), 1.0, 0.8)
+    one, same, other = (pitman_yor.seat(*args, sweep) for sweep in (1, 1, 2))
+    assert (one == same).all() and (one >= 1).all() and (one <= customers).all() and one[0] == 1
+    rich = pitman_yor.seat(keys, customers, np.full(6, 1e6), np.full(6, 0.5), 1.0, 0.8, 1)
+    assert (rich >= one).all() and rich[5] > 1000 and other.shape == one.shape
+
+
+def test_one_table_at_a_time_has_the_right_odds():
+    """The share of two-customer dishes that get a second table."""
+    n = 20_000
+    keys = np.arange(n, dtype=np.uint64)
+    tables = pitman_yor.seat(keys, np.full(n, 2), np.full(n, 9), np.full(n, 0.05), 1.0, 0.8, 1)
+    new = (1.0 + 0.8 * 10) * 0.05
+    assert (tables == 2).mean() == pytest.approx(new / (new + 1 - 0.8), abs=0.02)
+
+
+def test_held_out_texts_score_better_than_the_base(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    total = pitman_yor.score_texts(docs).filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert total[0] > total[1]
+
+
+# 2, token counts
+
+
+@pytest.mark.parametrize("rule", token_counts.RULES)
+def test_section_counts_are_those_of_the_encoder(spark, rule):
+    encoding, sizes = token_counts.encoder(token_counts.VOCABULARY, token_counts.PATTERN)
+    found = token_counts.section_token_counts(docs_frame(spark), rule=rule).collect()
+    wanted = Counter()
+    for key, text in DOCS:
+        text = text or ""
+        data = text.encode()
+        starts = [0] + [k + 1 for k in range(len(data) - 1) if data[k] == 10]
+        counts, crossing = Counter(), Counter()
+        tokens, at = encoding.encode_ordinary(text), 0
+        for token in tokens:
+            end = at + int(sizes[token])
+            inside = Counter(max(s for s, b in enumerate(starts) if b <= k) for k in range(at, end))
+            chosen = {"first": min(inside), "last": max(inside), "most": max(inside, key=lambda s: (inside[s], -s))}[rule]
+            counts[chosen] += 1
+            crossing[chosen] += len(inside) > 1
+            at = end
+        chars = [len(data[:b].decode()) for b in starts] + [len(text)]
+        for s in range(len(starts)):
+            wanted[key, s, chars[s], chars[s + 1], counts[s], crossing[s], len(tokens)] += 1
+    assert Counter(map(tuple, found)) == wanted
+
+
+def test_crossing_tokens_go_where_the_rule_says():
+    lengths, starts = np.array([3, 3, 2]), np.array([0, 4])
+    assert token_counts.count_sections(lengths, starts, 8, "first")[0].tolist() == [2, 1]
+    assert token_counts.count_sections(lengths, starts, 8, "last")[0].tolist() == [1, 2]
+    assert token_counts.count_sections(lengths, starts, 8, "most")[0].tolist() == [1, 2]
+    assert token_counts.count_sections(lengths, starts, 8, "most")[1].tolist() == [0, 1]
+    with pytest.raises(ValueError):
+        token_counts.section_token_counts(None, rule="none")
+
+
+# 4, pieces
+
+
+def test_pieces_are_those_of_the_library(spark):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=pieces.VOCABULARY)
+    extra = ["  a  b\n\nThe　x ﬁ \t z ", "x" * 300, "▁x", " ", "日本語テキスト 😀😀é̀", "a\0b", "<s> </s> <0x0A>"]
+    docs = docs_frame(spark, [(90 + k, t) for k, t in enumerate(extra)])
+    found = Counter((r.doc_id, tuple(r.ids), r.n_tokens, r.round_trip) for r in pieces.encode_documents(docs).collect())
+    rows = [*DOCS, *((90 + k, t) for k, t in enumerate(extra))]
+    wanted = Counter((k, tuple(model.encode(t or "")), len(model.encode(t or "")), True) for k, t in rows)
+    assert found == wanted
+    tokens = pieces.encode_documents(docs)
+    back = Counter(map(tuple, pieces.decode_documents(tokens).collect()))
+    assert back == Counter((k, (t or "").replace("▁", " ")) for k, t in rows)
+
+
+def test_all_occurrences_of_all_pieces_are_edges():
+    v = pieces.vocabulary(pieces.VOCABULARY)
+    text = "▁the▁theory"
+    codes = v.code_of[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+    edges, ids = pieces.matched_edges(codes, v)
+    found = {(e // (v.depth + 1), e % (v.depth + 1), v.pieces[k]) for e, k in zip(edges.tolist(), ids.tolist(), strict=True)}
+    wanted = {
+        (a, len(p), p) for p in set(v.pieces[k] for k in v.long_ids) for a in range(len(text)) if text.startswith(p, a)
+    }
+    assert found == wanted and (np.diff(edges) > 0).all()
+
+
+# 5, main text
+
+
+def test_main_text_of_the_test_pages(spark):
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
+    found = {r.page_id: (r.text, r.n_chars) for r in main_text.extract_main_text(pages).collect()}
+    import html
+
+    for page in pages.collect():
+        inner = re.search(r"<article>(.*?)(?:</article>|\Z)", page.html, re.S)[1]
+        blocks = re.split(r"<(?:h1|/h1|p|/p)>", inner)
+        texts = [" ".join(html.unescape(re.sub(r"<[^>]*>", lambda m: " " if m[0] == "<br>" else "", b)).split()) for b in blocks]
+        wanted = "\n\n".join(t for t in texts if t)
+        assert found[page.page_id] == (wanted, len(wanted))
+
+
+LONG = "This paragraph has a few sentences. It is long enough to be content, with stops. " * 3
+
+
+@pytest.mark.parametrize("source, wanted", [
+    (None, ""),
+    ("", ""),
+    ("<p", ""),
+    ("<script>var a = '<p>" + LONG, ""),
+    (f"<nav><p>{LONG}</p></nav>", ""),
+    (f"<article><h1>A &amp; B</h1><p>x <b>y</b>z&nbsp;\n w<br>v<p>{LONG}", f"A & B\n\nx yz w v\n\n{LONG.strip()}"),
+    (f"<body><div class=post><p>{LONG}</p><div id='comments'><p>{LONG}</p></div></div></body>", LONG.strip()),
+    (f"<main><p>{LONG}<!-- <p>no --></p><form><p>{LONG}</p></form></main>", LONG.strip()),
+])
+def test_main_text_of_single_pages(spark, source, wanted):
+    model = main_text.train([])
+    pages = spark.createDataFrame([(1, "u", source, 7)] * 2, "page_id long, url string, html string, text int")
+    found = main_text.extract_main_text(pages, model=model).collect()
+    assert [(r.page_id, r.url, r.text, r.n_chars) for r in found] == [(1, "u", wanted, len(wanted))] * 2
+
+
+def test_very_deep_pages_are_read():
+    page = main_text.parse("<div>" * 5000 + "deep" + "</div>" * 4000)
+    assert page.block_text == ["deep"] and max(page.depth) == main_text.MAX_DEPTH
+
+
+def test_sum_product_is_exact_on_a_small_tree():
+    trees = main_text.forest([main_text.parse("<div><p>a</p><ul><li>b</li></ul></div>")], {}, grow=True)
+    rng = np.random.default_rng(1)
+    n = len(trees.parent)
+    unary, pair = rng.normal(size=(n, 2)), rng.normal(size=(main_text.KINDS, 2, 2))
+    one, two = main_text.marginals(trees, unary, pair)
+    total, share, both = 0.0, np.zeros((n, 2)), np.zeros((n, 2, 2))
+    for number in range(2**n):
+        y = [number >> k & 1 for k in range(n)]
+        weight = math.exp(sum(unary[k, y[k]] for k in range(n)) + sum(
+            pair[trees.kind[k], y[trees.parent[k]], y[k]] for k in range(n) if trees.parent[k] >= 0
+        ))
+        total += weight
+        for k in range(n):
+            share[k, y[k]] += weight
+            if trees.parent[k] >= 0:
+                both[k, y[trees.parent[k]], y[k]] += weight
+    assert np.allclose(one, share / total) and np.allclose(two, both / total)
+
+
+def test_an_empty_table_of_pages(spark):
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    assert main_text.extract_main_text(pages).collect() == []
+
+
+# 6, quality
+
+
+def test_base_counts_are_those_by_hand(spark):
+    docs = docs_frame(spark).withColumn("lang", F.when(F.col("doc_id") % 3 == 0, "en").when(F.col("doc_id") % 3 == 1, "fr"))
+    found = Counter(
+        (r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed)
+        for r in quality.judge_quality(docs).collect()
+    )
+    wanted = Counter()
+    for key, text in DOCS:
+        text = text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        windows = [tuple(words[k : k + 5]) for k in range(len(words) - 4)]
+        times = Counter(windows)
+        repeated = {j for k, w in enumerate(windows) if times[w] > 1 for j in range(k, k + 5)}
+        lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        failed = len(words) < 10 or 100 * len(repeated) > 20 * len(words)
+        wanted[
+            key, len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)),
+            len(repeated), failed,
+        ] += 1
+    assert found == wanted
+
+
+def test_model_is_modified_kneser_ney(spark):
+    """Against a plain computation over dictionaries; shares after a context add up to one."""
+    texts = ["abab abba cab", "abc abc, abab", "baab"]
+    docs = spark.createDataFrame([("en", t) for t in texts], "lang string, text string")
+    model = quality.arrays_of(quality.model_table(docs).toArrow())["en"]
+    counts = Counter()
+    for text in texts:
+        row = [0] * 3 + [int(quality.FOLD[ord(c)]) for c in text]
+        counts.update(tuple(row[k : k + 4]) for k in range(len(text)))
+    of = {4: counts}
+    for k in (3, 2, 1):
+        of[k] = Counter(g[1:] for g in of[k + 1])
+
+    def p(gram):
+        if not gram:
+            return 1 / 64
+        table = of[len(gram)]
+        some = {g: n for g, n in table.items() if g[:-1] == gram[:-1]}
+        if not some:
+            return p(gram[1:])
+        n = [sum(v == k for v in table.values()) for k in range(5)]
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] + 2 * n[2] else 0.5
+        d = [0] + [min(max(k - (k + 1) * y * n[k + 1] / n[k], 0.1), k - 0.1) if n[k] else k / 2 for k in (1, 2, 3)]
+        give = {g: d[min(v, 3)] for g, v in some.items()}
+        own = some.get(gram, 0) - give.get(gram, 0)
+        return own / sum(some.values()) + sum(give.values()) / sum(some.values()) * p(gram[1:])
+
+    def code(gram):
+        return sum(s << 6 * (3 - k) for k, s in enumerate(gram))
+
+    grams = [(*g[:3], s) for g in list(counts)[:6] for s in range(1, 64)] + [(5, 6, 7, s) for s in range(1, 64)]
+    found = np.exp(model.score(np.array([code(g) for g in grams], np.uint32)))
+    assert np.allclose(found, [p(g) for g in grams], rtol=1e-5)
+
+
+def test_languages_have_bands_of_their_own_and_odd_text_is_rejected(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "lang", "text")
+    rng = np.random.default_rng(5)
+    odd = " ".join("".join(rng.choice(list("qxzjvkwyp"), 6)) for _ in range(60))
+    docs = docs.unionAll(spark.createDataFrame([(-1, "en", odd), (-2, None, None)], docs.schema))
+    found = {r.doc_id: r for r in quality.judge_quality(docs).collect()}
+    assert not found[-1].kept and not found[-1].base_failed
+    assert not found[-1].lower < found[-1].perplexity < found[-1].upper
+    assert not found[-2].kept and found[-2].perplexity is None
+    bands = {(r.lang, round(r.upper / r.lower, 6) > 1) for r in found.values() if r.upper}
+    assert {lang for lang, _ in bands} >= {"en", "fr", "de", "es"}
+    good = [r for r in found.values() if not r.base_failed]
+    assert sum(r.kept for r in good) > 0.95 * len(good)
+
+
+def test_models_in_several_passes_give_the_same(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "lang", "text")
+    one, two = (
+        sorted((r.doc_id, round(r.log_perplexity, 9)) for r in quality.measure(docs, entries).collect())
+        for entries in (1 << 24, 1)
+    )
+    assert one == two
+
+
+# 7, language
+
+
+def test_language_of_held_out_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = {r.doc_id: r for r in language.predict_language(docs, sample_docs=400).collect()}
+    truth = {r.doc_id: r.lang for r in docs.collect()}
+    assert all(r.held_out == (zlib.crc32(str(k).encode()) % 5 == 0) for k, r in found.items())
+    held = [k for k, r in found.items() if r.held_out]
+    assert sum(found[k].lang_pred == truth[k] for k in held) > 0.97 * len(held)
+    assert all(0 <= r.score <= 1 for r in found.values())
+
+
+def test_text_without_letters_has_no_language(spark):
+    rows = [(1, "den die der " * 9, "de"), (2, "the and of " * 9, "en"), (3, None, "en"), (4, "12 !", None),
+            (5, "", "de"), (5, "the", None), (None, "der die", None), (6, "x" * 5000, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", F.lit(1))
+    found = sorted((r.doc_id or 0, r.lang_pred, r.score) for r in language.predict_language(docs).collect())
+    assert [(k, p) for k, p, _ in found if p == "und"] == [(3, "und"), (4, "und"), (5, "und")]
+    assert len(found) == 8 and all(s == 0 for _, p, s in found if p == "und")
+    nobody = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {r.lang_pred for r in language.predict_language(nobody).collect()} == {"und"}
+    assert language.predict_language(docs.limit(0)).collect() == []
+
+
+def test_gradients_are_those_of_the_loss():
+    rng = np.random.default_rng(0)
+    w = {k: v.astype(np.float64) for k, v in language._new_weights(4, 3, 1).items()}
+    words, labels = rng.integers(0, 256, (5, 4)), rng.integers(0, 3, 5)
+    slopes = language.gradients(words, labels, w)[1]
+    for name, values in w.items():
+        at = (int(words[0, 1]), 2) if name.endswith("x") else tuple(int(rng.integers(0, s)) for s in values.shape)
+        values[at] += 1e-3
+        up = language.gradients(words, labels, w)[0]
+        values[at] -= 2e-3
+        down = language.gradients(words, labels, w)[0]
+        values[at] += 1e-3
+        assert slopes[name][at] == pytest.approx((up - down) / 2e-3, abs=2e-5)
+
+
+# 8, licences
+
+
+def test_licences_match_sql(spark):
+    found, wanted = rows_of(licences.q_licences(spark, SF_DIR)), duckdb_result(SF_DIR, licences.licences_sql())
+    assert found == wanted and any(dict(r)["licences"] for r in found)
+
+
+def test_rules_need_their_sentences_in_order(spark):
+    def notice(*numbers):
+        return "\n".join(licences.SENTENCES[n].title() + "." for n in numbers)
+
+    cases = {
+        notice(13, 14, 15): ["bsd-2-clause"],
+        notice(13, 14, 15, 16): ["bsd-3-clause"],
+        notice(13, 15, 14): [],
+        "Preface. " + notice(5, 6, 7, 8, 9) + " and more": ["apache-2.0"],
+        notice(3) + "\nword\n" + notice(1): ["gpl-3.0", "mit"],
+        "released  under THE: MIT--license!\n": ["mit"],
+        "licence": [],
+        "": [],
+    }
+    docs = spark.createDataFrame(
+        [(k, t, "x") for k, t in enumerate(cases)] + [(None, None, "x")], "doc_id long, text string, licences string"
+    )
+    found = {r.doc_id: r.licences for r in licences.scan_licences(docs).collect()}
+    assert found == {**dict(enumerate(cases.values())), None: []}
+    text = licences.scan_licences(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text and "Arrow" not in text and "Exchange" not in text
+
+
+def test_every_known_sentence_has_an_anchor():
+    for sentence in licences.SENTENCES.values():
+        assert any(a in sentence for a in licences.ANCHORS), sentence
+        assert sentence == re.sub(r"[\W_]+", " ", sentence).strip().lower()
+
+
+def test_pair_probabilities_are_those_of_the_restaurants(spark):
+    """The model's answer for each pair against the formula over a plain simulation of the same seatings."""
+    rows = [(k, "a b a c. a b") for k in range(6)] + [(k, "b c. a") for k in range(6, 9)] + [(1000, "b a d c.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    learn = F.col("doc_id") < 1000
+    found = pitman_yor.score_texts(docs, learn=learn, sweeps=2, burn_in=0, chunk_bytes=40).filter("doc_id = 1000").first()
+
+    end = b" "
+    words = sorted({w for k, t in rows if k < 1000 for w in t.encode().split()} | {end})
+    plain = [w for w in words if w != end]
+    hashes = dict(zip(plain, pitman_yor.text_hashes(plain), strict=True)) | {end: pitman_yor.END}
+    count, pair = Counter(), Counter()
+    for k, t in rows:
+        if k < 1000:
+            row = [*t.encode().split(), end]
+            count.update(row)
+            pair.update(zip([end, *row], row))
+    keys = list(pair)
+    left, right = (np.array([hashes[p[s]] for p in keys], np.uint64) for s in (0, 1))
+    of = {w: k for k, w in enumerate(words)}
+    c = np.array([pair[p] for p in keys])
+    ones, twos = (c == 1).sum(), (c == 2).sum()
+    d = pitman_yor._share(ones, twos)
+    tables = np.ones(len(keys), int)
+
+    def totals(t):
+        at, into = np.zeros(len(words), int), np.zeros(len(words), int)
+        for p, n in zip(keys, t, strict=True):
+            at[of[p[0]]] += n
+            into[of[p[1]]] += n
+        return at, into
+
+    at, into = totals(tables)
+    d0 = pitman_yor._share((into == 1).sum(), (into == 2).sum())
+    top = np.minimum(into, 1)
+    base = 1 / (len(words) + 1)
+    word_keys = np.array([hashes[w] for w in words], np.uint64)
+    logs = []
+    for sweep in (1, 2):
+        parent = (into - d0 * top + (1 + d0 * top.sum()) * base) / (1 + into.sum())
+        others = np.array([at[of[p[0]]] for p in keys]) - tables
+        shares = np.array([parent[of[p[1]]] for p in keys])
+        several = c > 1
+        tables = tables.copy()
+        tables[several] = pitman_yor.seat(
+            pitman_yor.pair_key(left, right)[several], c[several], others[several], shares[several], 1.0, d, sweep
+        )
+        at, into = totals(tables)
+        top = pitman_yor.seat(word_keys, into, top.sum() - top, np.full(len(words), base), 1.0, d0, sweep)
+        parent = (into - d0 * top + (1 + d0 * top.sum()) * base) / (1 + into.sum())
+        none = (1 + d0 * top.sum()) * base / (1 + into.sum())
+        row, shares = [*b"b a d c.".split(), end], []
+        for u, w in zip([end, *row], row):
+            p = parent[of[w]] if w in of else none
+            if u not in of:
+                shares.append(p)
+                continue
+            t = tables[keys.index((u, w))] if (u, w) in pair else 0
+            shares.append((max(pair[u, w] - d * t, 0) + (1 + d * at[of[u]]) * p) / (1 + count[u]))
+        logs.append(shares)
+    assert found.score == pytest.approx(np.log10(np.mean(logs, axis=0)).sum(), abs=1e-9)
