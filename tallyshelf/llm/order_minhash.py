@@ -7,10 +7,13 @@ move text, unlike a set of minima. A candidate pair is linked if the edit distan
 most (1 - SIMILARITY) of the longer one, computed in a band around the diagonal that is widened only as far as
 that bound; before, pairs are left out whose counts of words in bins show that their distance is greater. Linked texts, and links of links, are one class; exact copies are one text to begin with.
 
-Of the texts in a bucket, neighbours in a chain are compared, in two levels: in a part of the bucket (by hash),
-and the parts' first texts; so pairs grow with the bucket and no part is a task's whole bucket. Where a bucket
-still has several classes, one text of each goes into the next round's chains, until a round finds no link.
-A text is in at most two pairs of a bucket, so no join key is hot.
+Of the texts in a bucket, neighbours in a chain are compared first, in two levels: in a part of the bucket (by hash),
+and the parts' first texts; that joins most classes with pairs that grow with the bucket. A bucket that still has
+several classes is then cut into blocks of about BLOCK texts by hash, and every two blocks meet in one group, where
+all pairs of texts of different classes are screened by their profiles: first each text's nearest of another class
+in the group is compared, then, with the classes that gives, all that the screen leaves. So any two texts with a
+sketch in common are of one class or were compared, and no group holds more than two blocks. The rows sent to
+blocks grow with the square of such a bucket over BLOCK; buckets of one class send none.
 
 Defined cases: null and empty texts are copies of each other; a text shorter than a run is one run, one with
 fewer runs than PICKS gives all it has; a class is named by the least of its ids, null if it has none; repeated
@@ -35,7 +38,10 @@ PICKS = 2
 SKETCHES = 24
 SIMILARITY = 0.8
 PARTS = 16
+BLOCK = 256
 BINS = 256
+# Bins that are added up for the first look at a block's pairs.
+FOLD = 16
 FIRST_BAND = 8
 # Rows of a digest and an id that are broadcast at most; more are joined by shuffle.
 SLIM_ROWS = 500_000
@@ -255,6 +261,98 @@ def chained(rows: DataFrame, parts: int) -> DataFrame:
     return near.unionAll(far).filter("a is not null and a != b").distinct()
 
 
+def _close_pairs(group: pa.Table, similarity: float, nearest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of a group of two blocks that are of different classes and not ruled out by profiles."""
+    n = np.asarray(group["n_words"])
+    profile = np.frombuffer(b"".join(group["profile"].to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)
+    root = numbered(numbering(), group["root"].to_pylist())
+    one = group["low"][0] == group["high"][0]
+    at = np.arange(len(n))
+    first = np.asarray(group["side"]) == group["low"][0].as_py()
+    left, right = (at, at) if one else (at[first], at[~first])
+    coarse = profile.reshape(len(n), BINS // FOLD, FOLD).sum(axis=2, dtype=np.int32)
+    some = [(np.empty(0, np.int64),) * 3]
+    for k in left:
+        limit = np.floor((1 - similarity) * np.maximum(n[k], n[right]) + 1e-9)
+        ok = right[(root[right] != root[k]) & (np.abs(n[right] - n[k]) <= limit) & ((right > k) | (not one))]
+        for bins in (coarse, profile):
+            gap = bins[k] - bins[ok]
+            up, lack = np.maximum(gap, 0).sum(axis=1), gap.sum(axis=1)
+            least = np.maximum(up, up - lack)
+            close = least <= np.floor((1 - similarity) * np.maximum(n[k], n[ok]) + 1e-9)
+            ok, least = ok[close], least[close]
+        some.append((np.full(len(ok), k), ok, least))
+    x, y, least = (np.concatenate(c) for c in zip(*some, strict=True))
+    if nearest:
+        ends, mates = np.concatenate([x, y]), np.concatenate([y, x])
+        order = np.lexsort((mates, np.concatenate([least, least]), ends))
+        order = order[np.diff(ends[order], prepend=-1) != 0]
+        x, y = np.minimum(ends[order], mates[order]), np.maximum(ends[order], mates[order])
+    return x, y
+
+
+def _crosser(similarity: float, nearest: bool):
+    """The close pairs of each group of rows that follow one another with the same key, low and high."""
+
+    def paired(group: pa.Table) -> Iterator[pa.RecordBatch]:
+        if group.num_rows > 1:
+            x, y = _close_pairs(group, similarity, nearest)
+            body = group["body"].combine_chunks()
+            # The two sides in the order that a chain's pairs have.
+            pairs = [sorted(p) for p in zip(body.take(pa.array(x)).to_pylist(), body.take(pa.array(y)).to_pylist(), strict=True)]
+            sides = [pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(sides, names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            named = list(zip(*(batch.column(c).to_pylist() for c in ("key", "low", "high")), strict=True))
+            start = 0
+            for k, name in enumerate(named):
+                if last is not None and name != last:
+                    yield from paired(pa.Table.from_batches([*kept, batch.slice(start, k - start)]))
+                    kept, start = [], k
+                last = name
+            kept.append(batch.slice(start))
+        if kept:
+            yield from paired(pa.Table.from_batches(kept))
+
+    return run
+
+
+def crossed(
+    buckets: DataFrame, bodies: DataFrame, roots: DataFrame | None, similarity: float, nearest: bool, block: int = BLOCK
+) -> DataFrame | None:
+    """Pairs (a, b) of different classes among the bodies of each key that profiles do not rule out.
+
+    With `nearest` these are each body's nearest in each two blocks of its bucket, else all. None if every key of more
+    than two bodies has one class; a chain has compared the bodies of the others.
+    """
+    named = buckets.withColumn("root", F.col("body"))
+    if roots is not None:
+        named = buckets.join(roots.withColumnRenamed("node", "body"), "body", "left")
+        named = named.withColumn("root", F.coalesce("root", "body"))
+    named = stored(named, "named")
+    sums = [F.bit_xor(F.xxhash64("body", F.lit(k))).alias(f"sum{k}") for k in (1, 2)]
+    mixed = named.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), *sums)
+    # Keys of the same bodies have the same pairs.
+    mixed = mixed.filter("n > 2 and low != high").groupBy("n", "sum1", "sum2").agg(F.min("key").alias("key"))
+    mixed = stored(mixed.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "mixed")
+    mixed = broadcast_rows_if_few(mixed, SLIM_ROWS)
+    if mixed is None:
+        return None
+    rows = named.join(mixed, "key").withColumn("side", F.pmod(F.xxhash64("body"), F.col("blocks")).cast("int"))
+    rows = rows.join(bodies.select("body", "n_words", "profile"), "body")
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select(
+        "key", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"),
+        "side", "body", "root", "n_words", "profile",
+    )
+    rows = rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "body")
+    return rows.mapInArrow(_crosser(similarity, nearest), "a binary, b binary").distinct()
+
+
 def near_classes(
     docs: DataFrame,
     similarity: float = SIMILARITY,
@@ -274,22 +372,12 @@ def near_classes(
     buckets = stored(buckets.join(shared, "key"), "buckets")
     small = bodies.select("body", "rep")
 
-    links, tried, roots = None, None, None
-    rows = buckets
-    while True:
-        pairs = chained(rows, parts)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        tried = pairs if tried is None else tried.unionAll(pairs)
-        for side in "ab":
-            pairs = pairs.join(bodies.select(*[F.col(c).alias(f"{c}_{side}") for c in ("body", "n_words", "profile")]),
-                               F.col(side) == F.col(f"body_{side}")).drop(f"body_{side}")
-        pairs = stored(pairs.mapInArrow(_screener(similarity), "a binary, b binary"), "screened")
+    def linked(pairs: DataFrame) -> DataFrame | None:
+        """Those of the pairs that are similar; None if there are no pairs."""
         wanted = pairs.select(F.col("a").alias("body")).unionAll(pairs.select(F.col("b").alias("body"))).distinct()
         chosen = broadcast_rows_if_few(stored(wanted.join(small, "body").select("body", "rep"), "wanted"), SLIM_ROWS)
         if chosen is None:
-            break
+            return None
         words = texts.join(chosen, "body").filter(F.col("doc_id").eqNullSafe(F.col("rep")))
         words = stored(words.select("body", "text").dropDuplicates(["body"]), "candidates")
         both = (
@@ -297,15 +385,27 @@ def near_classes(
             .join(words.select(F.col("body").alias("b"), F.col("text").alias("y")), "b")
             .select("a", "b", "x", "y")
         )
-        new = stored(both.mapInArrow(_verifier(similarity), "a binary, b binary"), "links")
-        links = new if links is None else links.unionAll(new)
-        if new.isEmpty():
+        return stored(both.mapInArrow(_verifier(similarity), "a binary, b binary"), "links")
+
+    tried = stored(chained(buckets, parts), "pairs")
+    pairs = tried
+    for side in "ab":
+        pairs = pairs.join(bodies.select(*[F.col(c).alias(f"{c}_{side}") for c in ("body", "n_words", "profile")]),
+                           F.col(side) == F.col(f"body_{side}")).drop(f"body_{side}")
+    pairs = stored(pairs.mapInArrow(_screener(similarity), "a binary, b binary"), "screened")
+    links, roots = None, None
+    for nearest in (True, False, None):
+        new = linked(pairs)
+        if new is not None and not new.isEmpty():
+            links = new if links is None else links.unionAll(new)
+            roots = components(links)
+        if nearest is None:
             break
-        roots = components(links)
-        # What a bucket still has of several classes: one text of each.
-        named = buckets.join(roots.withColumnRenamed("node", "body"), "body", "left")
-        rows = named.groupBy("key", F.coalesce("root", "body").alias("root")).agg(F.min("body").alias("body"))
-        rows = rows.select("key", "body")
+        pairs = crossed(buckets, bodies, roots, similarity, nearest)
+        if pairs is None:
+            break
+        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried = tried.unionAll(pairs)
     found = small if roots is None else small.join(roots.withColumnRenamed("node", "body"), "body", "left")
     found = found.withColumn("root", F.col("body") if roots is None else F.coalesce("root", "body"))
     least = found.groupBy("root").agg(F.min("rep").alias("class_id"))

@@ -97,6 +97,29 @@ def test_a_large_group_of_near_copies_is_one_class(spark):
     assert {found[k] for k in range(400)} == {0} and all(found[1000 + k] == 1000 + k for k in range(100))
 
 
+def test_a_star_of_copies_is_one_class(spark):
+    """Each copy is similar to the original only; lone pairs share the sketches of a large bucket with them."""
+    rng = random.Random(5)
+
+    def edited(words, edits):
+        words = list(words)
+        for at in rng.sample(range(len(words)), edits):
+            words[at] = f"n{rng.randrange(1_000_000)}"
+        return words
+
+    base = [f"w{rng.randrange(10_000)}" for _ in range(150)]
+    texts = [base] + [edited(base, 18) for _ in range(300)]
+    for _ in range(20):
+        lone = base[:60] + [f"o{rng.randrange(1_000_000)}" for _ in range(90)]
+        texts += [lone, edited(lone, 15)]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    assert sum(order_minhash.similar(texts[k], texts[k + 1], 0.8) for k in range(1, 300)) < 10
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    # So many sketches that any two similar texts have one in common.
+    found = order_minhash.near_classes(docs, sketches=96).collect()
+    assert Counter((r.doc_id, r.class_id) for r in found) == classes_by_hand(rows)
+
+
 def test_pairs_grow_with_the_bucket_and_not_with_its_square(spark):
     rows = spark.range(1000).select(F.lit(1).cast("long").alias("key"), F.sha2(F.col("id").cast("string"), 256).cast("binary").alias("body"))
     pairs = order_minhash.chained(rows, 16)
