@@ -2,10 +2,13 @@
 
 All of it is built-in column functions on one row: no shuffle, no join and no Python on the executors.
 
-A text is cut into sentences at line breaks and at `.`, `!`, `?` or `;` before white space. A sentence is
-normalised to lower case with every run of other characters than letters and digits as one space. A
-sentence that is known becomes its number, all others are dropped, and a rule holds where its numbers stand
-in a row in what is left. A rule that is part of a longer rule which also holds is not reported.
+A sentence begins and ends at a line break, at `.`, `!`, `?` or `;` before white space, or at an end of the text, and
+is compared in lower case with every run of other characters than letters and digits as one space. Inside it there
+may be such stops (`v. 2.0`) and single line breaks, with a comment mark or indent after them, as hard-wrapped texts
+and source files have them, but no blank line. Where several known sentences begin at one place the longest counts.
+A notice may open with its subject (`This project is ...`). A sentence that is known becomes its number, all others
+are dropped, and a rule holds where its numbers stand in a row in what is left. A rule that is part of a longer rule
+which also holds is not reported.
 
 Null or empty text has no sentences and no licences. Repeated rows and ids each give a row. Other columns
 are not read. Texts of any length are scanned whole.
@@ -91,9 +94,15 @@ RULES: list[tuple[str, tuple[int, ...]]] = [
 #: Each known sentence has one of these, so a text without any has no known sentence.
 ANCHORS = ("licen", "permi", "redistrib", "copyright", "warrant")
 
+# How the SQL cuts, which has one-line sentences only.
 SENTENCE_BREAK = r"[\n\r]+|[.!?;]+[ \t\n\r]+"
 NO_WORD = r"[^\p{L}\p{N}]+"
 
+LINE, STOP = "\u0001", "\u0002"
+# What may stand between two words of a sentence: at most one line break, and a stop before it.
+BETWEEN = f"(?: ?{STOP} ?{LINE} ?| ?[{LINE}{STOP}] ?| )"
+SUBJECT = ("this", "(?:project|software|work|code|source code|file|program|library|package|module|repository)", "is")
+
 
 def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(sentence, NO_WORD, " "))
@@ -102,11 +111,25 @@ def normalised(sentence: Column) -> Column:
 def sentence_numbers(text: Column, sentences: Mapping[int, str] = SENTENCES, anchors: Sequence[str] = ANCHORS) -> Column:
     """The numbers of a text's known sentences in text order, as an array of int."""
     known = F.create_map(*[F.lit(x) for number, words in sentences.items() for x in (words, number)])
+    longest = sorted(sentences.values(), key=len, reverse=True)
+    subject = "".join(word.replace(" ", BETWEEN) + BETWEEN for word in SUBJECT)
+    bare = "|".join(BETWEEN.join(words.split()) for words in longest)
+    pattern = f"(?<=[{LINE}{STOP}] ?)(?:(?:{bare})|{subject}(?:{bare}))(?= ?[{LINE}{STOP}])"
     low = F.lower(text)
     may_have = F.lit(False)
     for anchor in anchors:
         may_have = may_have | low.contains(anchor)
-    numbers = F.transform(F.split(low, SENTENCE_BREAK), lambda s: F.try_element_at(known, normalised(s)))
+    marked = F.regexp_replace(F.translate(low, LINE + STOP, "  "), r"[.!?;]+(?=[ \t\n\r])", STOP)
+    marked = F.regexp_replace(marked, r"\r\n?|\n", LINE)
+    marked = F.concat(F.lit(LINE), F.regexp_replace(marked, rf"[^\p{{L}}\p{{N}}{LINE}{STOP}]+", " "), F.lit(LINE))
+    opening = f"^{' '.join(SUBJECT)} "
+
+    def number(found: Column) -> Column:
+        words = normalised(found)
+        whole = F.try_element_at(known, words)
+        return F.coalesce(whole, F.try_element_at(known, F.regexp_replace(words, opening, "")))
+
+    numbers = F.transform(F.regexp_extract_all(marked, F.lit(pattern), F.lit(0)), number)
     return F.when(may_have, F.filter(numbers, lambda n: n.isNotNull())).otherwise(F.array().cast("array<int>"))
 
 

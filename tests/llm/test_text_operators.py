@@ -359,6 +359,84 @@ def test_gradients_are_those_of_the_loss():
 # 8, licences
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+GPL = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+
+
+def test_licences_of_wrapped_texts(spark):
+    whole = {MIT: "mit", BSD: "bsd-3-clause", BSD[: BSD.index("3. ")]: "bsd-2-clause", GPL: "gpl-2.0-or-later", ISC: "isc",
+             GPL.replace("version 2", "version 3").replace("software;", "software:"): "gpl-3.0-or-later", APACHE: "apache-2.0"}
+    cases = {}
+    for text, name in whole.items():
+        for mark in ("", "# ", "// ", " * "):
+            for end in ("\n", "\r\n"):
+                cases["Copyright 2020 A" + end * 2 + end.join((mark + line).rstrip() for line in text.splitlines()) + end] = [name]
+    cases |= {
+        "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy": ["mpl-2.0"],
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": ["mpl-2.0"],
+        "Read on. This project is licensed under the MIT License.": ["mit"],
+        "This project is not licensed under the MIT License.": [],
+        "Licensed under\n\nthe MIT License": [],
+        "this program is licensed under the mit license agreement": [],
+    }
+    rows = list(cases)
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {rows[r.doc_id]: r.licences for r in licences.scan_licences(docs).collect()}
+    assert found == cases
+    ids = licences.scan_licences(docs.filter(F.col("doc_id") == rows.index(next(t for t in rows if "www.apache" in t)))).first()
+    assert ids.sentence_ids == [5, 6, 7, 8, 9]
+
+
 def test_licences_match_sql(spark):
     found, wanted = rows_of(licences.q_licences(spark, SF_DIR)), duckdb_result(SF_DIR, licences.licences_sql())
     assert found == wanted and any(dict(r)["licences"] for r in found)
