@@ -12,6 +12,7 @@ from tallyshelf.llm.language import q_language
 from tallyshelf.llm.licences import licences_sql, q_licences
 from tallyshelf.llm.main_text import q_main_text
 from tallyshelf.llm.order_minhash import q_near_duplicates
+from tallyshelf.llm.packing import q_packing
 from tallyshelf.llm.pieces import q_pieces
 from tallyshelf.llm.pitman_yor import q_score
 from tallyshelf.llm.quality import q_quality
@@ -38,6 +39,7 @@ QUERIES = {name: _query(run) for name, run in {
     "op8_licences": q_licences,
     "op9_decontaminate": q_decontaminate,
     "op10_repeats": q_repeats,
+    "op11_packing": q_packing,
 }.items()}
 ORACLES = {
     "op8_licences": licences_sql(),
