@@ -15,6 +15,7 @@ from tallyshelf.llm.order_minhash import q_near_duplicates
 from tallyshelf.llm.packing import q_packing
 from tallyshelf.llm.pieces import q_pieces
 from tallyshelf.llm.pitman_yor import q_score
+from tallyshelf.llm.prefix_trie import q_prefix_trie, trie_sql
 from tallyshelf.llm.quality import q_quality
 from tallyshelf.llm.repeats import q_repeats
 from tallyshelf.llm.token_counts import q_token_counts
@@ -40,7 +41,9 @@ QUERIES = {name: _query(run) for name, run in {
     "op9_decontaminate": q_decontaminate,
     "op10_repeats": q_repeats,
     "op11_packing": q_packing,
+    "op13_prefix_trie": q_prefix_trie,
 }.items()}
 ORACLES = {
     "op8_licences": licences_sql(),
+    "op13_prefix_trie": trie_sql(),
 }
