@@ -13,6 +13,7 @@ from tallyshelf.llm.licences import licences_sql, q_licences
 from tallyshelf.llm.main_text import q_main_text
 from tallyshelf.llm.order_minhash import q_near_duplicates
 from tallyshelf.llm.packing import q_packing
+from tallyshelf.llm.phrases import phrases_sql, q_phrases
 from tallyshelf.llm.pieces import q_pieces
 from tallyshelf.llm.pitman_yor import q_score
 from tallyshelf.llm.prefix_trie import q_prefix_trie, trie_sql
@@ -41,9 +42,11 @@ QUERIES = {name: _query(run) for name, run in {
     "op9_decontaminate": q_decontaminate,
     "op10_repeats": q_repeats,
     "op11_packing": q_packing,
+    "op12_phrases": q_phrases,
     "op13_prefix_trie": q_prefix_trie,
 }.items()}
 ORACLES = {
     "op8_licences": licences_sql(),
+    "op12_phrases": phrases_sql(),
     "op13_prefix_trie": trie_sql(),
 }
