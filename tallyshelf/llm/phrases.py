@@ -55,6 +55,9 @@ MOST_WORDS = 5
 REPORTED = 2000
 CHUNK_BYTES = 12 << 20
 SALTS = 64
+#: Of the columns a, total, l and r. Decimals of 19 digits multiply to 38, and the quotient is a long integer.
+_WHOLE = "decimal(19, 0)"
+SCORE = f"(cast(1000 * a as {_WHOLE}) * cast(total as {_WHOLE})) div (cast(l as {_WHOLE}) * cast(r as {_WHOLE}))"
 KEY_BITS = np.uint64(16)  # that are shifted out of 64
 
 # What ends a piece, and what parts words. A stop is no part of a word, so it stands for any end.
@@ -335,10 +338,8 @@ def scored_phrases(docs: DataFrame, least: int = LEAST, most: int = MOST_WORDS)
         cuts = cuts.join(of, ["lang", part])
     # One row per language.
     cuts = cuts.join(F.broadcast(totals), "lang")
-    whole = "decimal(19, 0)"
-    score = F.expr(f"(cast(1000 * a as {whole}) * cast(total as {whole})) div (cast(l as {whole}) * cast(r as {whole}))")
     lowest = cuts.groupBy("lang", "phrase").agg(
-        F.min(F.struct(score.alias("score"), "cut", "l", "r", "a", F.col("total").alias("n"))).alias("kept")
+        F.min(F.struct(F.expr(SCORE).alias("score"), "cut", "l", "r", "a", F.col("total").alias("n"))).alias("kept")
     )
     return lowest.select("lang", "phrase", *[F.col("kept")[c].alias(c) for c in ("a", "l", "r", "n", "score", "cut")])
 
