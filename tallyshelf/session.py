@@ -86,9 +86,23 @@ def remove_path(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+_RUN = f"run-{uuid.uuid4().hex}"
+_run_folders: dict[str, SparkSession] = {}
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused folder name in the shared scratch space."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unused folder name in the shared scratch space, in this process' own folder there."""
+    folder = f"{scratch_root(spark)}/{_RUN}"
+    _run_folders[folder] = spark
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+@atexit.register
+def _remove_run_folders() -> None:
+    """At the end of the process, as frames that were returned may still read their scratch data."""
+    for folder, spark in _run_folders.items():
+        if spark.sparkContext._jsc is not None:
+            remove_path(spark, folder)
 
 
 @contextmanager
