@@ -168,6 +168,8 @@ _QUERIES = {
     "clean_products": "select * from clean_products",
     "clean_stores": "select * from clean_stores",
     "clean_sales": f"select {_DATED} from clean_sales",
+    "clean_sales_staged": f"select {_DATED} from clean_sales",
+    "replaced_table": "select * from clean_products",
     "join_sources": f"select {_DATED} from joined",
     "enriched": f"select {_DATED} from enriched",
     "retail_sales_overview": "select * from overview",
@@ -210,6 +212,7 @@ _QUERIES = {
                     union all select * replace (concat('A', city) as city) from norm_stores))
         where place = 1""",
     "dedup_sales": f"select {_DATED} from (select distinct * from norm_sales)",
+    "dedup_sales_staged": f"select {_DATED} from (select distinct * from norm_sales)",
     "distinct_fetch": """
         select *, count(*) as copies
         from (select * from raw_stores union all select * from raw_stores) group by all""",

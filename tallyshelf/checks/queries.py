@@ -20,7 +20,13 @@ from tallyshelf.functions import labels, money
 from tallyshelf.functions.casting import to_date
 from tallyshelf.functions.envelope import envelope_rows
 from tallyshelf.operators.columns import coerce_columns, nan_to_null
-from tallyshelf.operators.dedup import count_copies, distinct_rows, one_per_key
+from tallyshelf.operators.dedup import (
+    count_copies,
+    distinct_by_fingerprint,
+    distinct_rows,
+    one_per_key,
+    with_fingerprint,
+)
 from tallyshelf.operators.envelopes import (
     pack_envelopes,
     parse_messages,
@@ -35,6 +41,7 @@ from tallyshelf.plans.clean import (
     CleanTables,
     clean_products,
     clean_sales,
+    clean_sales_staged,
     clean_stores,
     normalize_products,
     normalize_sales,
@@ -50,6 +57,7 @@ from tallyshelf.session import remove_path, scratch_root
 from tallyshelf.sinks.csv_files import export_csv
 from tallyshelf.sinks.tables import save_table
 from tallyshelf.sinks.topic import write_topic
+from tallyshelf.sinks.versions import replace_table
 from tallyshelf.sources.files import read_row_feed, read_sales_data, read_store_csv
 from tallyshelf.sources.tables import read_hive_table
 from tallyshelf.sources.topic import Topic, read_topic
@@ -244,6 +252,18 @@ def q_dedup_sales(spark: SparkSession, sf: str) -> DataFrame:
     return _dates_as_text(distinct_rows(normalize_sales(raw_sales(spark, sf))))
 
 
+def q_dedup_sales_staged(spark: SparkSession, sf: str) -> DataFrame:
+    """As dedup_sales, but only rows whose fingerprint occurs several times are shuffled."""
+    path = scratch_path(spark, "sales")
+    staged = with_fingerprint(normalize_sales(raw_sales(spark, sf)))
+    staged.write.parquet(path)
+    return _dates_as_text(distinct_by_fingerprint(spark.read.schema(staged.schema).parquet(path)))
+
+
+def q_clean_sales_staged(spark: SparkSession, sf: str) -> DataFrame:
+    return _dates_as_text(clean_sales_staged(raw_sales(spark, sf), scratch_path(spark, "sales")))
+
+
 def q_distinct_fetch(spark: SparkSession, sf: str) -> DataFrame:
     stores = raw_stores(spark, sf)
     return count_copies(stores.unionByName(stores))
@@ -376,7 +396,23 @@ def q_table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     database = _database(spark)
     tables = CleanTables(f"{database}.products", f"{database}.stores", f"{database}.sales")
     save_clean_tables(spark, raw_products(spark, sf), raw_stores(spark, sf), raw_sales(spark, sf), tables)
-    return _dates_as_text(save_overview(spark, tables, f"{database}.overview"))
+    save_overview(spark, tables, f"{database}.overview")
+    return _dates_as_text(spark.table(f"{database}.overview"))
+
+
+def q_replaced_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A table that is replaced twice, and a third time by a write that fails in the middle."""
+    name = f"{_database(spark)}.products"
+    products = raw_products(spark, sf)
+    replace_table(products, name)
+    replace_table(clean_products(products), name)
+    torn = F.when(F.col("sku_name") == "dup", F.raise_error(F.lit("torn"))).otherwise(F.col("brand"))
+    try:
+        replace_table(products.withColumn("brand", torn), name)
+    except Exception as error:
+        if "torn" not in str(error):
+            raise
+    return spark.table(name)
 
 
 def q_partitioned_table(spark: SparkSession, sf: str) -> DataFrame:

@@ -10,14 +10,44 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyshelf.operators.joins import broadcast_rows_if_few
+from tallyshelf.operators.joins import BROADCAST_ROWS, broadcast_rows_if_few
+
+FINGERPRINT = "_fingerprint"
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def with_fingerprint(df: DataFrame, name: str = FINGERPRINT) -> DataFrame:
+    """Adds a hash of the whole row. Equal rows have equal hashes; zero's sign makes no difference, as in comparisons."""
+    values = [
+        F.col(f"`{f.name}`") + F.lit(0.0).cast(f.dataType) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f"`{f.name}`")
+        for f in df.schema.fields
+    ]
+    return df.withColumn(name, F.xxhash64(*values))
+
+
+def distinct_by_fingerprint(df: DataFrame, name: str = FINGERPRINT, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """The distinct rows of a stored frame with a fingerprint, which goes.
+
+    Fingerprints alone are shuffled first, as one number a row. Only rows whose fingerprint occurs several times can
+    have copies: they are compared whole, so different rows with one fingerprint both stay. All others are passed on
+    without a shuffle. Where more than `limit` fingerprints occur several times, all rows are compared.
+    """
+    repeated = df.groupBy(name).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1).select(name)
+    n = repeated.count()
+    if n > limit:
+        return distinct_rows(df.drop(name))
+    if n == 0:
+        return df.drop(name)
+    repeated = F.broadcast(repeated)
+    alone = df.join(repeated, name, "left_anti").drop(name)
+    return alone.unionByName(distinct_rows(df.join(repeated, name, "left_semi").drop(name)))
+
+
 def one_per_key(df: DataFrame, key: str) -> DataFrame:
     """One row per key: the smallest in the order of the other columns, nulls first.
 

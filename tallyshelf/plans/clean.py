@@ -12,10 +12,11 @@ from tallyshelf import fixed_values as fixed
 from tallyshelf.functions.casting import to_date
 from tallyshelf.functions.money import cents
 from tallyshelf.functions.text import key_text, plain_text, title_text
-from tallyshelf.operators.dedup import distinct_rows, one_per_key
+from tallyshelf.operators.dedup import distinct_by_fingerprint, distinct_rows, one_per_key, with_fingerprint
 from tallyshelf.operators.filters import has_keys, inside, not_negative, positive, zero_fill
-from tallyshelf.operators.reports import require_values
-from tallyshelf.sinks.tables import save_table
+from tallyshelf.operators.reports import observe_values
+from tallyshelf.session import scratch_folder
+from tallyshelf.sinks.versions import Version, replace_tables
 
 
 def normalize_products(df: DataFrame) -> DataFrame:
@@ -59,14 +60,26 @@ def clean_stores(df: DataFrame) -> DataFrame:
     return one_per_key(normalize_stores(df).filter(has_keys("store_id") & placed), "store_id")
 
 
+def valid_sales(df: DataFrame) -> DataFrame:
+    """Normalised sales with all keys and no negative measure, copies included."""
+    return normalize_sales(df).filter(has_keys(*fixed.SALES_KEYS) & not_negative(*fixed.SALES_MEASURES))
+
+
 def clean_sales(df: DataFrame) -> DataFrame:
     """Distinct sales with all keys and no negative measure.
 
     Rows are filtered before they are compared, which gives the same rows as the other way round
     and shuffles fewer. Measures are filled last, since filling could make different rows equal.
     """
-    valid = has_keys(*fixed.SALES_KEYS) & not_negative(*fixed.SALES_MEASURES)
-    return zero_fill(distinct_rows(normalize_sales(df).filter(valid)), *fixed.SALES_MEASURES)
+    return zero_fill(distinct_rows(valid_sales(df)), *fixed.SALES_MEASURES)
+
+
+def clean_sales_staged(df: DataFrame, path: str) -> DataFrame:
+    """The same by way of a stored copy of the valid rows in `path`: only rows that may have copies are shuffled."""
+    staged = with_fingerprint(valid_sales(df))
+    staged.write.parquet(path)
+    staged = df.sparkSession.read.schema(staged.schema).parquet(path)
+    return zero_fill(distinct_by_fingerprint(staged), *fixed.SALES_MEASURES)
 
 
 @dataclass(frozen=True)
@@ -83,14 +96,15 @@ def save_clean_tables(
     sales: DataFrame,
     tables: CleanTables = CleanTables(),
     partition_by: Sequence[str] = (),
-) -> dict[str, DataFrame]:
-    """Clean the typed feeds and save them; returns the saved tables by name."""
-    require_values(sales, fixed.SALES_KEYS + fixed.SALES_MEASURES)
-    saved = {}
-    for raw, job, table, partitions in (
-        (products, clean_products, tables.products, ()),
-        (stores, clean_stores, tables.stores, ()),
-        (sales, clean_sales, tables.sales, partition_by),
-    ):
-        saved[table] = save_table(job(raw), table, partitions)
-    return saved
+) -> dict[str, Version]:
+    """Clean the typed feeds and replace the three tables; returns the versions, by table, with their row counts.
+
+    A feed that lacks all values of a needed column is an error, seen while it is read. On any error all three tables
+    stay as they were.
+    """
+    watched, check = observe_values(sales, fixed.SALES_KEYS + fixed.SALES_MEASURES)
+    with scratch_folder(spark, "valid-sales") as path:
+        cleaned = clean_sales_staged(watched, path)
+        check()
+        frames = {tables.products: clean_products(products), tables.stores: clean_stores(stores), tables.sales: cleaned}
+        return replace_tables(spark, frames, {tables.sales: partition_by})

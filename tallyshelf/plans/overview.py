@@ -10,7 +10,7 @@ from tallyshelf import fixed_values as fixed
 from tallyshelf.functions import labels, money
 from tallyshelf.operators.joins import BROADCAST_BYTES, join_sources
 from tallyshelf.plans.clean import CleanTables
-from tallyshelf.sinks.tables import save_table
+from tallyshelf.sinks.versions import Version, replace_tables
 
 
 def apply_transformations(df: DataFrame) -> DataFrame:
@@ -52,7 +52,8 @@ def save_overview(
     table: str = fixed.OVERVIEW_TABLE,
     partition_by: Sequence[str] = (),
     broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """Build the curated table from the clean tables."""
+) -> Version:
+    """Build the curated table from the clean tables and replace it, whole or not at all."""
     frames = (spark.table(name) for name in (clean.sales, clean.products, clean.stores))
-    return save_table(retail_sales_overview(*frames, broadcast_bytes), table, partition_by)
+    overview = retail_sales_overview(*frames, broadcast_bytes)
+    return replace_tables(spark, {table: overview}, {table: partition_by})[table]
