@@ -3,16 +3,17 @@
 Texts are cut into pieces at `. , ; : ! ?` and line breaks, pieces into words at blanks and tabs, A-Z in lower case.
 All counts are per language. Shards are chunks of documents (`chunks.py`), whatever their languages.
 
-1. Words that occur fewer than `least` times cannot be in a candidate, nor can pairs of words below it. Shards send
-   packed counts of hashed words, then of hashed pairs, to buckets of keys, and get back one bit for each key. Different
-   words with one hash only let more through, as all counts below are of the words themselves.
+1. Words that occur fewer than `least` times cannot be in a candidate, nor can pairs of words below it, nor longer
+   phrases. Shards send packed counts of hashed words to buckets of keys, and get back one bit for each key; then of
+   hashed pairs, then of phrases of three words and more. Different words with one hash only let more through, as the
+   final counts are of the words themselves.
 2. Each shard numbers its words, breaks its text where a word or pair is out, and builds the Burrows-Wheeler
    transforms of the text and of the reversed text, sorted to the depth that phrases have. An interval of the one and one
    of the other stand for a phrase; extending it to the left by the first transform moves both, extending it to the right
    by the second. All intervals of a length are extended at once.
-3. Phrases are sent with their counts, and with the word to their left, or right, if all of their occurrences in the
-   shard have the same. Counts are summed across shards. A phrase is part of a longer one that is as frequent just if all
-   shards agree on such a word.
+3. Phrases that may be frequent are sent with their counts, and with the word to their left, or right, if all of their
+   occurrences in the shard have the same. Buckets of phrases sum across shards. A phrase is part of a longer one that is
+   as frequent just if all shards agree on such a word.
 
 Then each way to cut a phrase in two is scored by the counts of both parts, and the lowest score counts. Sums and
 scores are exact: long integers, and decimals of 38 digits for the products.
@@ -24,7 +25,8 @@ A frequent word or a group of copies is one key per shard.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import json
+from collections.abc import Callable, Iterator
 from itertools import count
 
 import numpy as np
@@ -55,6 +57,7 @@ MOST_WORDS = 5
 REPORTED = 2000
 CHUNK_BYTES = 12 << 20
 SALTS = 64
+PARTS_BYTES = 64 << 20
 #: Of the columns a, total, l and r. Decimals of 19 digits multiply to 38, and the quotient is a long integer.
 _WHOLE = "decimal(19, 0)"
 SCORE = f"(cast(1000 * a as {_WHOLE}) * cast(total as {_WHOLE})) div (cast(l as {_WHOLE}) * cast(r as {_WHOLE}))"
@@ -69,16 +72,25 @@ PHRASES = pa.schema([
     ("phrase", pa.string()),
     ("n_words", pa.int32()),
     ("n", pa.int64()),
-    ("left_word", pa.string()),
-    ("right_word", pa.string()),
+    ("inside", pa.bool_()),
 ])
-PHRASES_DDL = "lang string, phrase string, n_words int, n long, left_word string, right_word string"
+PHRASES_DDL = "lang string, phrase string, n_words int, n long, inside boolean"
+WORDS, PAIRS, LONGER, FOUND, RECORD = range(5)  # kinds of blocks
 
 
 class Words:
     """A chunk's words as numbers from 1; 0 is the end of a piece. The same word of two languages is two words."""
 
-    def __init__(self, chunk: Chunk) -> None:
+    def __init__(self, text: np.ndarray, words: list[bytes], langs: list[str], lang_of: np.ndarray, totals: np.ndarray) -> None:
+        self.text, self.words, self.langs, self.lang_of, self.totals = text, words, langs, lang_of, totals
+        salts = [lang.encode("utf-8", "surrogatepass") + b"\0" for lang in langs]
+        hashed = [xxhash.xxh3_64_intdigest(salts[k] + w) for k, w in zip(lang_of[1:].tolist(), words[1:], strict=True)]
+        self.hashes = np.array([0, *hashed], np.uint64)
+        self.counts = np.bincount(text, minlength=len(words))
+        self.counts[0] = 0
+
+    @classmethod
+    def of_chunk(cls, chunk: Chunk) -> Words:
         fresh = count(1)
         numbers: dict[str, dict[bytes, int]] = {}
         parts, end = [np.zeros(1, np.int64)], np.zeros(1, np.int64)
@@ -87,36 +99,46 @@ class Words:
                 numbers[lang] = numbering()
                 numbers[lang].default_factory = fresh.__next__
                 numbers[lang][b"."] = 0
-            words = text.lower().translate(_PLAIN).replace(b".", b" . ").split()
-            parts += [np.fromiter(map(numbers[lang].__getitem__, words), np.int64, len(words)), end]
-        self.text = np.concatenate(parts)
+            found = text.lower().translate(_PLAIN).replace(b".", b" . ").split()
+            parts += [np.fromiter(map(numbers[lang].__getitem__, found), np.int64, len(found)), end]
         n = next(fresh)
-        self.words: list[bytes] = [b""] * n
-        self.langs = list(numbers)
-        self.lang_of = np.zeros(n, np.int64)
-        hashes = [0] * n
-        for k, (lang, known) in enumerate(numbers.items()):
-            salt = lang.encode("utf-8", "surrogatepass") + b"\0"
+        words, lang_of = [b""] * n, np.zeros(n, np.int64)
+        for k, known in enumerate(numbers.values()):
             for word, number in known.items():
                 if number:
-                    self.words[number], self.lang_of[number] = word, k
-                    hashes[number] = xxhash.xxh3_64_intdigest(salt + word)
-        self.hashes = np.array(hashes, np.uint64)
-        self.counts = np.bincount(self.text, minlength=n)
-        self.counts[0] = 0
-
-    def word_keys(self) -> tuple[np.ndarray, np.ndarray]:
-        """The key of each word; 0's is not asked for."""
-        return self.hashes[1:] >> KEY_BITS, self.counts[1:]
-
-    def without(self, kept: np.ndarray) -> np.ndarray:
-        """The text with piece ends in place of words that are not kept, and no two ends in a row."""
-        text = np.where(kept[self.text], self.text, 0)
-        return text[np.concatenate([[True], (text[1:] != 0) | (text[:-1] != 0)])]
+                    words[number], lang_of[number] = word, k
+        text = np.concatenate(parts)
+        counts = np.bincount(text, minlength=n)
+        totals = np.bincount(lang_of[1:], weights=counts[1:], minlength=len(numbers)).astype(np.int64)
+        return cls(text, words, list(numbers), lang_of, totals)
+
+    def dump(self, *more: np.ndarray) -> bytes:
+        """As bytes, with further arrays; words hold no line breaks."""
+        names = np.frombuffer(b"\n".join(self.words), np.uint8)
+        langs = np.frombuffer(json.dumps(self.langs).encode(), np.uint8)
+        return pack(self.text.astype(np.int32), names, langs, self.lang_of.astype(np.uint16), self.totals, *more)
+
+    @classmethod
+    def load(cls, data: bytes) -> tuple[Words, list[np.ndarray]]:
+        text, names, langs, lang_of, totals, *more = unpack(data)
+        words = names.tobytes().split(b"\n")
+        return cls(text.astype(np.int64), words, json.loads(langs.tobytes()), lang_of.astype(np.int64), totals), more
+
+    def keep(self, kept: np.ndarray) -> Words:
+        """Only some words, numbered anew, with piece ends in place of the others and no two ends in a row."""
+        kept = np.concatenate([[False], kept])
+        text = np.where(kept, np.cumsum(kept), 0)[self.text]
+        text = text[np.concatenate([[True], (text[1:] != 0) | (text[:-1] != 0)])]
+        own = np.flatnonzero(kept)
+        words = [b"", *map(self.words.__getitem__, own.tolist())]
+        return Words(text, words, self.langs, np.concatenate([[0], self.lang_of[own]]), self.totals)
 
-    def pair_keys(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        h = self.hashes
-        return mix(h[first] * np.uint64(0x9E3779B97F4A7C15) + (h[second] ^ np.uint64(0x5851F42D4C957F2D))) >> KEY_BITS
+    def keys(self, phrases: np.ndarray) -> np.ndarray:
+        """The keys of phrases, one per row of word numbers."""
+        acc = self.hashes[phrases[:, 0]]
+        for k in range(1, phrases.shape[1]):
+            acc = mix(acc * np.uint64(0x9E3779B97F4A7C15) + self.hashes[phrases[:, k]])
+        return acc >> KEY_BITS
 
 
 class Transform:
@@ -132,7 +154,8 @@ class Transform:
             rank[order] = np.cumsum(np.concatenate([[0], np.diff(key[order]) != 0]))
             length *= 2
         self.n = n
-        self.rows = np.argsort(rank, kind="stable")
+        # Rows that are alike to the depth may be in any order: no interval starts or ends among them.
+        self.rows = order
         self.before = text[self.rows - 1]
         self.counts = np.bincount(text)
         self.less = np.cumsum(self.counts) - self.counts
@@ -171,15 +194,12 @@ class Transform:
         return np.where(least == np.maximum.reduceat(symbols, start), least, 0)
 
 
-Level = tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
-
+def phrases_of(text: np.ndarray, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(length, places, counts, left, right) of all phrases of 2 to `most` words, one length at a time.
 
-def phrases_of(text: np.ndarray, most: int) -> Iterator[Level]:
-    """(length, words, counts, left, right) of all phrases of 2 to `most` words, one length at a time.
-
-    `words` has one row per phrase; `left` and `right` are the only word beside all of its occurrences, or 0.
+    A phrase is known by a place in the text; `left` and `right` are the only word beside all of its occurrences, or 0.
     """
-    ahead, back = Transform(text, most + 1), Transform(text[::-1], most + 1)
+    ahead, back = Transform(text, max(most, 2)), Transform(text[::-1], max(most, 2))
     symbols = np.flatnonzero(ahead.counts[1:]) + 1
     low, other, size = ahead.less[symbols], back.less[symbols], ahead.counts[symbols]
     for length in range(2, most + 1):
@@ -187,9 +207,7 @@ def phrases_of(text: np.ndarray, most: int) -> Iterator[Level]:
             low, other, size = ahead.extend(low, other, size)
         else:
             other, low, size = back.extend(other, low, size)
-        places = ahead.rows[low]
-        words = text[places[:, None] + np.arange(length)]
-        yield length, words, size, ahead.only(low, size), back.only(other, size)
+        yield length, ahead.rows[low], size, ahead.only(low, size), back.only(other, size)
 
 
 def _key_blocks(keys: np.ndarray, counts: np.ndarray, buckets: int) -> Blocks:
@@ -233,13 +251,11 @@ def _sums_at_least(least: int):
 
 
 def _ask_words(buckets: int):
-    return lambda chunk: _key_blocks(*Words(chunk).word_keys(), buckets)
-
+    def question(chunk: Chunk) -> Blocks:
+        words = Words.of_chunk(chunk)
+        return _key_blocks(words.hashes[1:] >> KEY_BITS, words.counts[1:], buckets)
 
-def _kept_text(words: Words, got: dict[int, dict[int, bytes]], buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """The text of frequent words, and which words these are."""
-    kept = np.concatenate([[False], _frequent(words.word_keys()[0], got.get(0, {}), buckets)])
-    return words.without(kept), kept
+    return question
 
 
 def _pairs(text: np.ndarray) -> np.ndarray:
@@ -247,51 +263,140 @@ def _pairs(text: np.ndarray) -> np.ndarray:
     return np.flatnonzero((text[:-1] != 0) & (text[1:] != 0))
 
 
+def _at(text: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
+    return text[places[:, None] + np.arange(length)]
+
+
+def _with_record(number: int, blocks: Blocks, kind: int, record: bytes) -> pa.Table:
+    return pa.concat_tables([blocks_table(number, blocks, kind), blocks_table(number, iter([(-1, record)]), RECORD)])
+
+
 def _ask_pairs(buckets: int):
+    """Pairs of frequent words, and the text of these as a record."""
+
     def use(number: int, chunk: Chunk, got: dict[int, dict[int, bytes]]) -> pa.Table:
-        words = Words(chunk)
-        text, _ = _kept_text(words, got, buckets)
-        at = _pairs(text)
-        keys = words.pair_keys(text[at], text[at + 1])
-        return blocks_table(number, _key_blocks(keys, np.ones(len(keys)), buckets), kind=1)
+        words = Words.of_chunk(chunk)
+        words = words.keep(_frequent(words.hashes[1:] >> KEY_BITS, got.get(WORDS, {}), buckets))
+        keys = words.keys(_at(words.text, _pairs(words.text), 2))
+        return _with_record(number, _key_blocks(keys, np.ones(len(keys)), buckets), PAIRS, words.dump())
 
     return use
 
 
-def _phrase_rows(buckets: int, most: int):
-    def use(number: int, chunk: Chunk, got: dict[int, dict[int, bytes]]) -> pa.Table:
-        words = Words(chunk)
-        text, kept = _kept_text(words, got, buckets)
-        at = _pairs(text)
-        frequent = _frequent(words.pair_keys(text[at], text[at + 1]), got.get(1, {}), buckets)
-        text = np.insert(text, at[~frequent] + 1, 0)
-
-        names = pa.array(words.words, pa.binary()).cast(pa.string())
-        langs = pa.array([*words.langs, None], pa.string())
-        beside = pa.array([None, *words.words[1:]], pa.binary()).cast(pa.string())
-
-        def rows(langs_at: np.ndarray, phrase: pa.Array, length: int, n: np.ndarray, left: np.ndarray, right: np.ndarray) -> pa.Table:
-            columns = [
-                langs.take(pa.array(langs_at)), phrase, pa.array(np.full(len(n), length, np.int32)),
-                pa.array(n.astype(np.int64)), beside.take(pa.array(left)), beside.take(pa.array(right)),
-            ]
-            return pa.Table.from_arrays(columns, schema=PHRASES)
-
-        none = np.zeros(len(words.langs), np.int64)
-        totals = np.bincount(words.lang_of[1:], weights=words.counts[1:], minlength=len(words.langs))
-        out = [rows(np.arange(len(words.langs)), pa.array([""] * len(words.langs)), 0, totals, none, none)]
-        own = np.flatnonzero(kept)
-        none = np.zeros(len(own), np.int64)
-        out.append(rows(words.lang_of[own], names.take(pa.array(own)), 1, words.counts[own], none, none))
-        for length, found, n, left, right in phrases_of(text, most):
-            parts = [names.take(pa.array(found[:, k])) for k in range(length)]
-            phrase = pc.binary_join_element_wise(*parts, " ")
-            out.append(rows(words.lang_of[found[:, 0]], phrase, length, n, left, right))
-        return pa.concat_tables(out)
+def _ask_longer(buckets: int, most: int):
+    """Phrases of three words and more, and a record of all phrases: places, counts and what is beside them."""
+
+    def use(number: int, data: bytes, got: dict[int, bytes]) -> pa.Table:
+        words, _ = Words.load(data)
+        at = _pairs(words.text)
+        frequent = _frequent(words.keys(_at(words.text, at, 2)), got, buckets)
+        words.text = np.insert(words.text, at[~frequent] + 1, 0)
+        levels, keys, counts = [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for length, places, n, left, right in phrases_of(words.text, most):
+            order = np.argsort(places)
+            places, n, left, right = (a[order] for a in (places, n, left, right))
+            sides = ((left > 0) | (right > 0) << 1).astype(np.uint8)
+            levels += [np.diff(places, prepend=0).astype(np.int32), n.astype(np.int32), sides]
+            if length > 2:
+                keys.append(words.keys(_at(words.text, places, length)))
+                counts.append(n)
+        blocks = _key_blocks(np.concatenate(keys), np.concatenate(counts), buckets)
+        return _with_record(number, blocks, LONGER, words.dump(*levels))
 
     return use
 
 
+def _send_found(buckets: int, most: int):
+    """Phrases and words that may be frequent, as text, to the bucket of each."""
+
+    def use(number: int, data: bytes, got: dict[int, bytes]) -> pa.Table:
+        words, levels = Words.load(data)
+        text, names = words.text, pa.array(words.words, pa.binary())
+        nothing = np.zeros(len(words.words) - 1, np.int64)
+        own = np.arange(1, len(words.words))
+        # Per length: the words, their counts, and the only word to the left and right of each phrase.
+        found = [(own[:, None], words.counts[1:], nothing, nothing)]
+        for length in range(2, most + 1):
+            gaps, n, sides = levels[3 * (length - 2) : 3 * (length - 1)]
+            places = np.cumsum(gaps.astype(np.int64))
+            left = np.where(sides & 1, text[places - 1], 0)
+            right = np.where(sides & 2, text[places + length], 0)
+            found.append((_at(text, places, length), n.astype(np.int64), left, right))
+        longer = [words.keys(f[0]) for f in found[2:]]
+        frequent = _frequent(np.concatenate([np.zeros(0, np.uint64), *longer]), got, buckets)
+        for k, flags in enumerate(np.split(frequent, np.cumsum([len(x) for x in longer])[:-1]), 2):
+            if k < len(found):
+                found[k] = tuple(a[flags] for a in found[k])
+        lines, keys, counts, lengths, langs = [], [], [], [], []
+        for of, n, left, right in found:
+            parts = [names.take(pa.array(of[:, k])) for k in range(of.shape[1])]
+            phrase = pc.binary_join_element_wise(*parts, b" ") if len(parts) > 1 else parts[0]
+            beside = (names.take(pa.array(a)) for a in (left, right))
+            lines += pc.binary_join_element_wise(phrase, *beside, b"\t").to_pylist()
+            keys.append(words.keys(of))
+            counts.append(n)
+            lengths.append(np.full(len(of), of.shape[1]))
+            langs.append(words.lang_of[of[:, 0]])
+        # A language's words are counted under no words.
+        n = len(words.langs)
+        lines += [b"\t\t"] * n
+        keys.append(np.array([xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) for x in words.langs], np.uint64))
+        counts.append(words.totals)
+        lengths.append(np.zeros(n, np.int64))
+        langs.append(np.arange(n))
+        key, n, length, lang = map(np.concatenate, (keys, counts, lengths, langs))
+        order, ends = by_bucket(bucket_of(key, buckets), buckets)
+        names = np.frombuffer(json.dumps(words.langs).encode(), np.uint8)
+
+        def blocks() -> Blocks:
+            for bucket, rows in enumerate(np.split(order, ends[:-1])):
+                if len(rows):
+                    joined = np.frombuffer(b"\n".join(map(lines.__getitem__, rows.tolist())), np.uint8)
+                    yield bucket, pack(n[rows], length[rows].astype(np.uint8), lang[rows].astype(np.uint16), names, joined)
+
+        return blocks_table(number, blocks(), FOUND)
+
+    return use
+
+
+def _sum_found(least: int, most: int):
+    """The phrases of a bucket over all shards."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        sums: dict[tuple[str, bytes], list] = {}
+        for data in rows["data"].to_pylist():
+            n, length, lang, names, joined = unpack(data)
+            langs = json.loads(names.tobytes())
+            lines = joined.tobytes().split(b"\n")
+            for line, k, words, number in zip(lines, n.tolist(), length.tolist(), lang.tolist(), strict=True):
+                phrase, left, right = line.split(b"\t")
+                row = sums.setdefault((langs[number], phrase), [words, 0, left, right])
+                row[1] += k
+                if row[2] != left:
+                    row[2] = b""
+                if row[3] != right:
+                    row[3] = b""
+        out = [
+            (lang, phrase.decode("utf-8"), words, n, bool(left or right) and 2 <= words < most)
+            for (lang, phrase), (words, n, left, right) in sums.items()
+            if n >= least or not words
+        ]
+        return pa.Table.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(PHRASES)], schema=PHRASES)
+
+    return run
+
+
+def _with_records(rows: DataFrame, answers: DataFrame, use: Callable[[int, bytes, dict[int, bytes]], pa.Table]) -> DataFrame:
+    """Each shard's record with its answers by bucket."""
+
+    def run(mine: pa.Table, blocks: pa.Table) -> pa.Table:
+        got = dict(zip(blocks["bucket"].to_pylist(), blocks["data"].to_pylist(), strict=True))
+        return use(mine["chunk"][0].as_py(), mine["data"][0].as_py(), got)
+
+    records = rows.filter(F.col("kind") == RECORD)
+    return records.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, BLOCKS_DDL)
+
+
 def phrase_counts(docs: DataFrame, least: int = LEAST, most: int = MOST_WORDS) -> DataFrame:
     """(lang, phrase, n_words, n, inside): phrases and words that occur `least` times, and all words under n_words 0.
 
@@ -301,19 +406,15 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, most: int = MOST_WORDS) -
     chunks = to_chunks(rows, limit=CHUNK_BYTES, carry=F.coalesce("lang", F.lit("und")))
     buckets = bucket_count(chunks)
     merge = _sums_at_least(least)
-    words = stored(answer(ask(chunks, _ask_words(buckets)), merge), "answers")
-    pairs = with_answers(chunks, words, _ask_pairs(buckets), BLOCKS_DDL)
-    answers = words.unionByName(stored(answer(pairs, merge, kind=1), "answers"))
-    found = with_answers(chunks, answers, _phrase_rows(buckets, most), PHRASES_DDL)
 
-    def agreed(column: str):
-        return (F.count(column) == F.count("*")) & (F.min(column) == F.max(column))
+    def answered(blocks: DataFrame, kind: int) -> DataFrame:
+        return stored(answer(blocks.filter(F.col("kind") == kind), merge, kind), "answers")
 
-    counts = found.groupBy("lang", "phrase", "n_words").agg(
-        F.sum("n").alias("n"), (agreed("left_word") | agreed("right_word")).alias("agreed")
-    ).filter((F.col("n") >= least) | (F.col("n_words") == 0))
-    inside = F.coalesce(F.col("agreed") & F.col("n_words").between(2, most - 1), F.lit(False))
-    return stored(counts.select("lang", "phrase", "n_words", "n", inside.alias("inside")), "phrases")
+    words = answered(ask(chunks, _ask_words(buckets), WORDS), WORDS)
+    pairs = stored(with_answers(chunks, words, _ask_pairs(buckets), BLOCKS_DDL), "pairs")
+    longer = stored(_with_records(pairs, answered(pairs, PAIRS), _ask_longer(buckets, most)), "longer")
+    found = _with_records(longer, answered(longer, LONGER), _send_found(buckets, most))
+    return stored(found.groupBy("bucket").applyInArrow(_sum_found(least, most), PHRASES_DDL), "phrases")
 
 
 def scored_phrases(docs: DataFrame, least: int = LEAST, most: int = MOST_WORDS) -> DataFrame:
@@ -324,7 +425,7 @@ def scored_phrases(docs: DataFrame, least: int = LEAST, most: int = MOST_WORDS)
     counts = phrase_counts(docs, least, most)
     totals = counts.filter(F.col("n_words") == 0).select("lang", F.col("n").alias("total"))
     parts = counts.filter((F.col("n_words") > 0) & (F.col("n_words") < most)).select("lang", "phrase", "n")
-    parts = broadcast_if_small(parts)
+    parts = broadcast_if_small(parts, PARTS_BYTES)
     words = F.split("phrase", " ")
     cuts = counts.filter((F.col("n_words") > 1) & ~F.col("inside")).select(
         "lang", "phrase", F.col("n").alias("a"), F.explode(F.sequence(F.lit(1), F.col("n_words") - 1)).alias("cut")

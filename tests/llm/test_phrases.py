@@ -110,7 +110,8 @@ def test_intervals_are_the_occurrences():
                     left.add(int(text[i - 1]))
                     right.add(int(text[i + k]))
         seen = Counter()
-        for _, words, n, left, right in phrases.phrases_of(text, 5):
+        for length, places, n, left, right in phrases.phrases_of(text, 5):
+            words = text[places[:, None] + np.arange(length)]
             for w, m, a, b in zip(map(tuple, words.tolist()), n.tolist(), left.tolist(), right.tolist()):
                 seen[w] = m
                 for value, values in zip((a, b), beside[w]):
