@@ -39,8 +39,9 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--run-id", default="", help="subfolder of the topic and landing folders, for an unrelated feed")
     parser.add_argument("--per-trigger", type=int, help="messages (Kafka) or files per micro-batch")
     parser.add_argument("--export", default="", help="target of the CSV export")
-    parser.add_argument("--multi-line", action="store_true", help="CSV values may have line breaks; a file is one task")
+    parser.add_argument("--multi-line", action="store_true", help="CSV values may have line breaks; their lines are stored first")
     parser.add_argument("--partition-by", nargs="*", default=[], help="columns to partition the curated table by")
+    parser.add_argument("--grace-seconds", type=float, default=86_400, help="how long compaction leaves replaced folders to readers")
     parser.add_argument("--store-csv", default="", help="headered CSV of stores")
     parser.add_argument("--warehouse-table", default="")
     parser.add_argument("--warehouse-url", default="")
@@ -64,6 +65,7 @@ def _settings(args: argparse.Namespace) -> Settings:
         export=args.export,
         multi_line=args.multi_line,
         partition_by=tuple(args.partition_by),
+        grace_seconds=args.grace_seconds,
     )
 
 

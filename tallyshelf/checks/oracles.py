@@ -293,6 +293,7 @@ _QUERIES = {
                     else '{"batch_id": ' || o_orderkey || ', "rows": "torn' end as value
         from orders where o_orderkey % 3 > 0""",
     "compacted_rows": "select * from raw_sales",
+    "snapshot_rows": "select * from raw_sales",
     "batch_files": "select printf('batch_%05d', batch_id) as batch, cast(n_rows as bigint) as n_rows from envelopes",
     "staged_flow": "select * from overview",
 }

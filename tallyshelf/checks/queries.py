@@ -71,6 +71,7 @@ from tallyshelf.streaming.landing import (
     read_landed,
     read_landed_text,
     read_quarantine,
+    snapshot,
     write_batch_files,
 )
 
@@ -576,6 +577,17 @@ def q_compacted_rows(spark: SparkSession, sf: str) -> DataFrame:
     return read_landed(spark, landing)
 
 
+def q_snapshot_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """A reader's snapshot, read after other content was landed and compacted."""
+    topic, landing = _landed(spark, sf)
+    before = snapshot(spark, landing)
+    sales = raw_sales(spark, sf).withColumn("promo_flag", F.col("promo_flag") + 1)
+    publish_rows(spark, sales.select(*[F.col(c).cast("string") for c in sales.columns]), topic)
+    land(read_topic(spark, topic), landing)
+    compact(spark, landing, grace_seconds=3600)
+    return read_landed(spark, landing, before)
+
+
 def q_resent_empty(spark: SparkSession, sf: str) -> DataFrame:
     """Every second batch is sent again without rows: the manifest and the rows agree on that."""
     topic, landing = _landed(spark, sf)
