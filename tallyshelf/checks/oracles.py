@@ -247,6 +247,7 @@ _QUERIES = {
                  then 'say "' || city || '",' || chr(10) || 'then' || chr(10) || 'stop' else city end as city)
         from raw_stores""",
     "table_roundtrip": "select * from overview",
+    "overview_incremental": "select * from overview",
     "partitioned_table": "select country, count(*) as n, count(distinct sku_id) as n_skus from overview group by all",
     "csv_parallel_roundtrip": "select * from overview",
     "preview_ordered": """

@@ -49,6 +49,7 @@ from tallyshelf.plans.clean import (
     save_clean_tables,
 )
 from tallyshelf.plans.dimensions import append_products, append_stores, load_products, load_stores, product_rows
+from tallyshelf.plans.incremental import refresh_overview
 from tallyshelf.plans.overview import apply_transformations, retail_sales_overview, save_overview
 from tallyshelf.plans.publish import publish_rows
 from tallyshelf.plans.stages import Settings, run_stages
@@ -401,6 +402,25 @@ def q_table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return _dates_as_text(spark.table(f"{database}.overview"))
 
 
+def q_overview_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Built from other feeds, then refreshed with the right ones: sales, products and stores that came, went and changed."""
+    database = _database(spark)
+    tables = CleanTables(f"{database}.products", f"{database}.stores", f"{database}.sales")
+    products, stores, sales = raw_products(spark, sf), raw_stores(spark, sf), raw_sales(spark, sf)
+    number = F.regexp_extract("sku_id", r"(\d+)", 1).cast("int")
+    other_products = products.filter(F.coalesce(number % 19 != 3, F.lit(True))).withColumn(
+        "brand", F.when(number % 23 == 1, "other").otherwise(F.col("brand"))
+    )
+    other_stores = stores.withColumn("channel", F.when(F.col("store_id").endswith("7 "), "other").otherwise(F.col("channel")))
+    later = F.when(F.col("month") == 5, F.concat(F.lit("2"), F.substring("date", 2, 99)))
+    other_sales = sales.filter(F.col("month") != 3).withColumn("date", F.coalesce(later, "date"))
+    save_clean_tables(spark, other_products, other_stores, other_sales, tables)
+    refresh_overview(spark, tables, f"{database}.overview")
+    save_clean_tables(spark, products, stores, sales, tables)
+    refresh_overview(spark, tables, f"{database}.overview")
+    return _dates_as_text(spark.table(f"{database}.overview").select(*fixed.OVERVIEW_COLUMNS))
+
+
 def q_replaced_table(spark: SparkSession, sf: str) -> DataFrame:
     """A table that is replaced twice, and a third time by a write that fails in the middle."""
     name = f"{_database(spark)}.products"

@@ -1,0 +1,137 @@
+"""The curated table refreshed by date against a full build."""
+
+from __future__ import annotations
+
+import os
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyshelf import fixed_values as fixed
+from tallyshelf.plans import incremental
+from tallyshelf.plans.clean import CleanTables
+from tallyshelf.plans.incremental import Refresh, refresh_overview
+from tallyshelf.plans.overview import retail_sales_overview
+from tallyshelf.schemas import PRODUCTS_SCHEMA, SALES_SCHEMA, STORES_SCHEMA
+
+DATES = ["2024-01-0%d" % k for k in range(1, 7)] + [None]
+
+
+def sale(date, store, sku, **more):
+    row = dict.fromkeys(SALES_SCHEMA.fieldNames())
+    row |= {"date": date, "store_id": store, "sku_id": sku, "supplier_id": "s", "units_sold": 1, "gross_sales": 2.0, "net_sales": 1.5}
+    row |= {"stock_on_hand": 3, "purchase_cost": 0.5, "month": 1, "weekday": 1} | more
+    return row
+
+
+class Tables:
+    """Clean tables in a database of their own, with one sale per date of product k and store k, and all of product 9."""
+
+    def __init__(self, spark):
+        self.spark = spark
+        self.clean = CleanTables("refresh.p", "refresh.s", "refresh.f")
+        self.sales = [sale(d, f"st{k}", f"p{k}") for k, d in enumerate(DATES)]
+        self.products = {f"p{k}": ("n", "c", "s", "b", 1.0) for k in range(10)}
+        self.stores = {f"st{k}": ("c", "t", "w", 1.0, 2.0) for k in range(10)}
+
+    def save(self):
+        spark = self.spark
+        dated = SALES_SCHEMA.fieldNames()
+        frames = {
+            self.clean.products: spark.createDataFrame([(k, *v) for k, v in self.products.items()], PRODUCTS_SCHEMA),
+            self.clean.stores: spark.createDataFrame([(k, *v) for k, v in self.stores.items()], STORES_SCHEMA),
+            self.clean.sales: spark.createDataFrame([tuple(r[c] for c in dated) for r in self.sales], SALES_SCHEMA).withColumn(
+                "date", F.col("date").cast("date")
+            ),
+        }
+        for name, df in frames.items():
+            df.write.mode("overwrite").saveAsTable(name)
+
+    def refresh(self):
+        self.save()
+        done = refresh_overview(self.spark, self.clean, "refresh.o")
+        frames = (self.spark.table(n) for n in (self.clean.sales, self.clean.products, self.clean.stores))
+        wanted = retail_sales_overview(*frames)
+        found = self.spark.table("refresh.o").select(*fixed.OVERVIEW_COLUMNS)
+        assert Counter(map(tuple, found.collect())) == Counter(map(tuple, wanted.collect()))
+        return done
+
+
+@pytest.fixture
+def tables(spark):
+    spark.sql("create database refresh")
+    yield Tables(spark)
+    spark.sql("drop database refresh cascade")
+
+
+def files(spark):
+    return {p: os.stat(p.removeprefix("file:").replace("//", "/")).st_mtime_ns for p in spark.table("refresh.o").inputFiles()}
+
+
+def test_first_and_unchanged(spark, tables):
+    assert tables.refresh() == Refresh(27, 7, 0)
+    before = files(spark)
+    assert tables.refresh() == Refresh(0, 0, 0) and files(spark) == before
+
+
+def test_only_dates_that_something_changed_for_are_written(spark, tables):
+    tables.refresh()
+    before = files(spark)
+    tables.sales[0]["units_sold"] = 7
+    tables.products["p2"] = ("new name", "c", "s", "b", 1.0)
+    tables.stores["st4"] = ("c", "other", "w", 1.0, 2.0)
+    assert tables.refresh() == Refresh(3, 3, 0)
+    kept = set(before) & set(files(spark))
+    assert len(kept) == 4 and all(files(spark)[p] == before[p] for p in kept)
+
+
+def test_rows_that_come_and_go(spark, tables):
+    tables.refresh()
+    tables.sales = [r for r in tables.sales if r["date"] not in (DATES[1], None)] + [sale("2025-02-02", "st1", "p1")]
+    assert tables.refresh() == Refresh(3, 1, 2)
+    del tables.products["p3"], tables.stores["st9"]
+    assert tables.refresh() == Refresh(2, 0, 1)
+    tables.products["p3"] = ("n", "c", "s", "b", 1.0)
+    tables.sales.append(sale(None, "st1", "p1"))
+    assert tables.refresh() == Refresh(2, 2, 0)
+    tables.sales = []
+    tables.refresh()
+    assert spark.table("refresh.o").count() == 0
+
+
+def test_columns_that_do_not_reach_the_result_change_nothing(spark, tables):
+    tables.refresh()
+    tables.stores["st1"] = ("c", "t", "w", 3.0, 4.0)
+    expected = Refresh(1, 1, 0) if "latitude" in fixed.OVERVIEW_COLUMNS else Refresh(0, 0, 0)
+    assert tables.refresh() == expected
+
+
+def test_a_value_that_moves_to_another_column_is_a_change(spark, tables):
+    tables.products["p1"] = ("x", None, "s", "b", 1.0)
+    tables.refresh()
+    tables.products["p1"] = (None, "x", "s", "b", 1.0)
+    assert tables.refresh().changed == 1
+
+
+def test_a_refresh_that_failed_is_run_again(spark, tables, monkeypatch):
+    tables.refresh()
+    tables.sales[2]["net_sales"] = 0.25
+    tables.sales = [r for r in tables.sales if r["date"] != DATES[4]]
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, "replace_table", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            tables.refresh()
+    assert tables.refresh() == Refresh(2, 1, 1)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_a_table_of_versions_is_refused(spark, tables):
+    tables.save()
+    spark.sql("create view refresh.o as select 1 a")
+    with pytest.raises(ValueError, match="as a whole"):
+        refresh_overview(spark, tables.clean, "refresh.o")
