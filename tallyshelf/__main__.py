@@ -43,6 +43,7 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--partition-by", nargs="*", default=[], help="columns to partition the curated table by")
     parser.add_argument("--grace-seconds", type=float, default=86_400, help="how long compaction leaves replaced folders to readers")
     parser.add_argument("--store-csv", default="", help="headered CSV of stores")
+    parser.add_argument("--unseen-only", action="store_true", help="load no row that the dimension table has already")
     parser.add_argument("--warehouse-table", default="")
     parser.add_argument("--warehouse-url", default="")
     parser.add_argument("--warehouse-provider", default="jdbc")
@@ -71,7 +72,7 @@ def _settings(args: argparse.Namespace) -> Settings:
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.stage == "load-stores":
-        loaded = load_stores(spark, args.store_csv, multi_line=args.multi_line)
+        loaded = load_stores(spark, args.store_csv, multi_line=args.multi_line, unseen_only=args.unseen_only)
         print(f"{loaded.read} rows read, {loaded.duplicates} duplicates, {loaded.appended} appended")
     elif args.stage == "load-products":
         warehouse = Warehouse(
@@ -84,7 +85,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             tuple(args.warehouse_bounds),
             args.warehouse_splits,
         )
-        load_products(spark, warehouse)
+        load_products(spark, warehouse, unseen_only=args.unseen_only)
     elif args.stage == "all":
         run_stages(spark, _settings(args))
     else:

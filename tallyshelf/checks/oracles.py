@@ -255,6 +255,9 @@ _QUERIES = {
         order by date, store_id, sku_id, year, month limit 5""",
     # Dimension loads
     "dimension_append": "select *, cast(2 as bigint) as n from (select distinct * from raw_stores)",
+    "dimension_append_unseen": """
+        select *, cast(1 as bigint) as n
+        from (select * from raw_stores union select * replace (concat('A', city) as city) from raw_stores)""",
     "load_stores": "select distinct * from raw_stores",
     "load_products": "select sku_id, sku_name, category, subcategory, brand, list_price from raw_products",
     "upper_to_lower_columns": "select sku_id, sku_name, category, subcategory, brand, list_price from raw_products",

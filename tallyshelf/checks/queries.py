@@ -246,8 +246,11 @@ def q_dedup_products(spark: SparkSession, sf: str) -> DataFrame:
 def q_dedup_stores(spark: SparkSession, sf: str) -> DataFrame:
     """Every store a second time in another city."""
     stores = normalize_stores(raw_stores(spark, sf))
-    moved = stores.withColumn("city", F.concat(F.lit("A"), "city"))
-    return one_per_key(stores.unionByName(moved), "store_id")
+    return one_per_key(stores.unionByName(_moved(stores)), "store_id")
+
+
+def _moved(stores: DataFrame) -> DataFrame:
+    return stores.withColumn("city", F.concat(F.lit("A"), "city"))
 
 
 def q_dedup_sales(spark: SparkSession, sf: str) -> DataFrame:
@@ -464,6 +467,15 @@ def q_dimension_append(spark: SparkSession, sf: str) -> DataFrame:
     return _counted(spark.table(name), *stores.columns)
 
 
+def q_dimension_append_unseen(spark: SparkSession, sf: str) -> DataFrame:
+    """The same stores twice in one load and in a second one, then all but some of them with others."""
+    name = f"{_database(spark)}.stores"
+    stores = raw_stores(spark, sf)
+    for load in (stores.unionByName(stores), stores, stores.filter("country is not null").unionByName(_moved(stores))):
+        append_stores(spark, load, name, unseen_only=True)
+    return _counted(spark.table(name), *stores.columns)
+
+
 def q_load_stores(spark: SparkSession, sf: str) -> DataFrame:
     name = f"{_database(spark)}.stores"
     load_stores(spark, _stores_csv(spark, sf), name)
