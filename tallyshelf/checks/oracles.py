@@ -145,6 +145,26 @@ select cast(i + 1 as int) as batch_id, cast(least(1000, n - i * 1000) as int) as
 from (select n, unnest(range(0, cast(ceil(n / 1000) as bigint))) as i from (select count(*) as n from raw_sales))
 """
 
+def _rejections() -> str:
+    """Rows of each feed that fail each rule; a null fails."""
+    rules = {
+        "products": {"sku_id is known": "sku_id is not null", "list_price above zero": "list_price > 0"},
+        "stores": {
+            "store_id is known": "store_id is not null",
+            "latitude in range": "latitude between -90 and 90",
+            "longitude in range": "longitude between -180 and 180",
+        },
+        "sales": {f"{c} is known": f"{c} is not null" for c in ("date", "store_id", "sku_id")}
+        | {f"{c} not negative": f"{c} >= 0" for c in ("units_sold", "gross_sales", "net_sales", "stock_on_hand", "purchase_cost")},
+    }
+    parts = [
+        f"select '{feed}' as feed, '{name}' as rule, count(*) filter (where not coalesce({condition}, false)) as n_rows from norm_{feed}"
+        for feed, of_feed in rules.items()
+        for name, condition in [*of_feed.items(), ("any rule", " and ".join(of_feed.values()))]
+    ]
+    return " union all ".join(parts)
+
+
 _VIEWS = {
     "raw_products": RAW_PRODUCTS,
     "raw_stores": RAW_STORES,
@@ -202,6 +222,18 @@ _QUERIES = {
     "fill_after_filter": """
         select l_orderkey, l_linenumber, case when l_linenumber = 3 then cast(0 as double) else l_extendedprice end as amount
         from lineitem where l_linenumber <> 5""",
+    "rejections": _rejections(),
+    "clean_report": f"""
+        {_rejections()}
+        union all select 'products', 'written', count(*) from clean_products
+        union all select 'stores', 'written', count(*) from clean_stores
+        union all select 'sales', 'written', count(*) from clean_sales""",
+    "coerce_rescued": """
+        select name, text, count(*) as n from (
+            select 'flag' as name, l_returnflag as text from lineitem
+            union all select 'amount', '3e2x' from lineitem where l_linenumber = 3
+            union all select 'status', l_linestatus from lineitem where l_linenumber <> 2)
+        group by all""",
     # Duplicates
     "dedup_products": CLEAN_PRODUCTS.replace("where sku_id is not null and list_price > 0", ""),
     "dedup_stores": """

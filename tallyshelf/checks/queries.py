@@ -19,6 +19,7 @@ from tallyshelf.checks.feeds import raw_products, raw_sales, raw_stores, sales_t
 from tallyshelf.functions import labels, money
 from tallyshelf.functions.casting import to_date
 from tallyshelf.functions.envelope import envelope_rows
+from tallyshelf.operators.accounting import REJECTIONS_DDL, RESCUED, coerce_rescued, rejections
 from tallyshelf.operators.columns import coerce_columns, nan_to_null
 from tallyshelf.operators.dedup import (
     count_copies,
@@ -46,7 +47,10 @@ from tallyshelf.plans.clean import (
     normalize_products,
     normalize_sales,
     normalize_stores,
+    product_rules,
+    sales_rules,
     save_clean_tables,
+    store_rules,
 )
 from tallyshelf.plans.dimensions import append_products, append_stores, load_products, load_stores, product_rows
 from tallyshelf.plans.incremental import refresh_overview
@@ -236,6 +240,38 @@ def q_fill_after_filter(spark: SparkSession, sf: str) -> DataFrame:
     return zero_fill(amounts.filter(not_negative("amount")), "amount")
 
 
+def q_rejections(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of each feed that each rule keeps out, counted by one pass over the feed."""
+    return union_rows(
+        rejections(normalize_products(raw_products(spark, sf)), "products", product_rules()),
+        rejections(normalize_stores(raw_stores(spark, sf)), "stores", store_rules()),
+        rejections(normalize_sales(raw_sales(spark, sf)), "sales", sales_rules()),
+    )
+
+
+def q_clean_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The same counts as observed while the clean tables are written, with the tables' rows."""
+    database = _database(spark)
+    tables = CleanTables(f"{database}.products", f"{database}.stores", f"{database}.sales")
+    done = save_clean_tables(spark, raw_products(spark, sf), raw_stores(spark, sf), raw_sales(spark, sf), tables)
+    rows = [*done.rejected, *((t.split(".")[1], "written", v.n_rows) for t, v in done.versions.items())]
+    return spark.createDataFrame(rows, REJECTIONS_DDL)
+
+
+def q_coerce_rescued(spark: SparkSession, sf: str) -> DataFrame:
+    """Text that fits no integer column, whole and in part, with the rows' numbers."""
+    text = table(spark, sf, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.col("l_returnflag").alias("flag"),
+        F.when(F.col("l_linenumber") == 3, "3e2x").otherwise(F.col("l_quantity").cast("string")).alias("amount"),
+        F.when(F.col("l_linenumber") != 2, F.col("l_linestatus")).alias("status"),
+    )
+    schema = T.StructType().add("flag", "integer").add("amount", "double").add("status", "integer")
+    rescued = coerce_rescued(text, schema).select(F.explode(RESCUED).alias("name", "text"))
+    return _counted(rescued, "name", "text")
+
+
 # Duplicates
 
 

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyshelf import fixed_values as fixed
 from tallyshelf.functions.casting import to_date
 from tallyshelf.functions.money import cents
 from tallyshelf.functions.text import key_text, plain_text, title_text
+from tallyshelf.operators.accounting import Rejections, keep_valid
 from tallyshelf.operators.dedup import distinct_by_fingerprint, distinct_rows, one_per_key, with_fingerprint
 from tallyshelf.operators.filters import has_keys, inside, not_negative, positive, zero_fill
 from tallyshelf.operators.reports import observe_values
@@ -48,21 +51,38 @@ def normalize_sales(df: DataFrame) -> DataFrame:
     })
 
 
+def product_rules() -> dict[str, Column]:
+    """A key, and a price that is above zero once rounded."""
+    return {"sku_id is known": has_keys("sku_id"), "list_price above zero": positive("list_price")}
+
+
+def store_rules() -> dict[str, Column]:
+    """A key and valid coordinates."""
+    return {
+        "store_id is known": has_keys("store_id"),
+        "latitude in range": inside("latitude", fixed.LATITUDE_RANGE),
+        "longitude in range": inside("longitude", fixed.LONGITUDE_RANGE),
+    }
+
+
+def sales_rules() -> dict[str, Column]:
+    """All keys and no negative measure."""
+    keys = {f"{c} is known": has_keys(c) for c in fixed.SALES_KEYS}
+    return keys | {f"{c} not negative": not_negative(c) for c in fixed.SALES_MEASURES}
+
+
+def _all(rules: dict[str, Column]) -> Column:
+    return reduce(and_, rules.values())
+
+
 def clean_products(df: DataFrame) -> DataFrame:
-    """Products with a key and a price that is above zero once rounded, one row per key."""
-    sellable = has_keys("sku_id") & positive("list_price")
-    return one_per_key(normalize_products(df).filter(sellable), "sku_id")
+    """Products with a key and a price, one row per key."""
+    return one_per_key(normalize_products(df).filter(_all(product_rules())), "sku_id")
 
 
 def clean_stores(df: DataFrame) -> DataFrame:
     """Stores with a key and valid coordinates, one row per key."""
-    placed = inside("latitude", fixed.LATITUDE_RANGE) & inside("longitude", fixed.LONGITUDE_RANGE)
-    return one_per_key(normalize_stores(df).filter(has_keys("store_id") & placed), "store_id")
-
-
-def valid_sales(df: DataFrame) -> DataFrame:
-    """Normalised sales with all keys and no negative measure, copies included."""
-    return normalize_sales(df).filter(has_keys(*fixed.SALES_KEYS) & not_negative(*fixed.SALES_MEASURES))
+    return one_per_key(normalize_stores(df).filter(_all(store_rules())), "store_id")
 
 
 def clean_sales(df: DataFrame) -> DataFrame:
@@ -71,17 +91,21 @@ def clean_sales(df: DataFrame) -> DataFrame:
     Rows are filtered before they are compared, which gives the same rows as the other way round
     and shuffles fewer. Measures are filled last, since filling could make different rows equal.
     """
-    return zero_fill(distinct_rows(valid_sales(df)), *fixed.SALES_MEASURES)
+    return zero_fill(distinct_rows(normalize_sales(df).filter(_all(sales_rules()))), *fixed.SALES_MEASURES)
 
 
-def clean_sales_staged(df: DataFrame, path: str) -> DataFrame:
-    """The same by way of a stored copy of the valid rows in `path`: only rows that may have copies are shuffled."""
-    staged = with_fingerprint(valid_sales(df))
+def distinct_sales_staged(valid: DataFrame, path: str) -> DataFrame:
+    """The same of valid sales by way of a stored copy in `path`: only rows that may have copies are shuffled."""
+    staged = with_fingerprint(valid)
     staged.write.parquet(path)
-    staged = df.sparkSession.read.schema(staged.schema).parquet(path)
+    staged = valid.sparkSession.read.schema(staged.schema).parquet(path)
     return zero_fill(distinct_by_fingerprint(staged), *fixed.SALES_MEASURES)
 
 
+def clean_sales_staged(df: DataFrame, path: str) -> DataFrame:
+    return distinct_sales_staged(normalize_sales(df).filter(_all(sales_rules())), path)
+
+
 @dataclass(frozen=True)
 class CleanTables:
     products: str = fixed.CLEAN_PRODUCTS_TABLE
@@ -89,6 +113,14 @@ class CleanTables:
     sales: str = fixed.CLEAN_SALES_TABLE
 
 
+@dataclass(frozen=True)
+class CleanReport:
+    """The written versions by table, and the rows that each rule kept out, by feed."""
+
+    versions: dict[str, Version]
+    rejected: Rejections
+
+
 def save_clean_tables(
     spark: SparkSession,
     products: DataFrame,
@@ -96,15 +128,23 @@ def save_clean_tables(
     sales: DataFrame,
     tables: CleanTables = CleanTables(),
     partition_by: Sequence[str] = (),
-) -> dict[str, Version]:
-    """Clean the typed feeds and replace the three tables; returns the versions, by table, with their row counts.
+) -> CleanReport:
+    """Clean the typed feeds and replace the three tables; rows are counted, kept and rejected ones, on the way.
 
     A feed that lacks all values of a needed column is an error, seen while it is read. On any error all three tables
     stay as they were.
     """
     watched, check = observe_values(sales, fixed.SALES_KEYS + fixed.SALES_MEASURES)
+    valid_products, rejected_products = keep_valid(normalize_products(products), "products", product_rules())
+    valid_stores, rejected_stores = keep_valid(normalize_stores(stores), "stores", store_rules())
+    valid_sales, rejected_sales = keep_valid(normalize_sales(watched), "sales", sales_rules())
     with scratch_folder(spark, "valid-sales") as path:
-        cleaned = clean_sales_staged(watched, path)
+        distinct = distinct_sales_staged(valid_sales, path)
         check()
-        frames = {tables.products: clean_products(products), tables.stores: clean_stores(stores), tables.sales: cleaned}
-        return replace_tables(spark, frames, {tables.sales: partition_by})
+        frames = {
+            tables.products: one_per_key(valid_products, "sku_id"),
+            tables.stores: one_per_key(valid_stores, "store_id"),
+            tables.sales: distinct,
+        }
+        versions = replace_tables(spark, frames, {tables.sales: partition_by})
+    return CleanReport(versions, [*rejected_products(), *rejected_stores(), *rejected_sales()])
