@@ -42,6 +42,7 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--multi-line", action="store_true", help="CSV values may have line breaks; their lines are stored first")
     parser.add_argument("--partition-by", nargs="*", default=[], help="columns to partition the curated table by")
     parser.add_argument("--grace-seconds", type=float, default=86_400, help="how long compaction leaves replaced folders to readers")
+    parser.add_argument("--stage-sales", action="store_true", help="store valid sales first and shuffle only those that may have copies")
     parser.add_argument("--store-csv", default="", help="headered CSV of stores")
     parser.add_argument("--unseen-only", action="store_true", help="load no row that the dimension table has already")
     parser.add_argument("--warehouse-table", default="")
@@ -67,6 +68,7 @@ def _settings(args: argparse.Namespace) -> Settings:
         multi_line=args.multi_line,
         partition_by=tuple(args.partition_by),
         grace_seconds=args.grace_seconds,
+        stage_sales=args.stage_sales,
     )
 
 

@@ -128,23 +128,28 @@ def save_clean_tables(
     sales: DataFrame,
     tables: CleanTables = CleanTables(),
     partition_by: Sequence[str] = (),
+    stage_sales: bool = False,
 ) -> CleanReport:
     """Clean the typed feeds and replace the three tables; rows are counted, kept and rejected ones, on the way.
 
     A feed that lacks all values of a needed column is an error, seen while it is read. On any error all three tables
-    stay as they were.
+    stay as they were. With `stage_sales` valid sales are stored once more, and then only those that may have copies
+    are shuffled: worth it where shuffling all sales costs more than writing them.
     """
     watched, check = observe_values(sales, fixed.SALES_KEYS + fixed.SALES_MEASURES)
     valid_products, rejected_products = keep_valid(normalize_products(products), "products", product_rules())
     valid_stores, rejected_stores = keep_valid(normalize_stores(stores), "stores", store_rules())
     valid_sales, rejected_sales = keep_valid(normalize_sales(watched), "sales", sales_rules())
     with scratch_folder(spark, "valid-sales") as path:
-        distinct = distinct_sales_staged(valid_sales, path)
-        check()
+        if stage_sales:
+            distinct = distinct_sales_staged(valid_sales, path)
+            check()
+        else:
+            distinct = zero_fill(distinct_rows(valid_sales), *fixed.SALES_MEASURES)
         frames = {
             tables.products: one_per_key(valid_products, "sku_id"),
             tables.stores: one_per_key(valid_stores, "store_id"),
             tables.sales: distinct,
         }
-        versions = replace_tables(spark, frames, {tables.sales: partition_by})
+        versions = replace_tables(spark, frames, {tables.sales: partition_by}, check)
     return CleanReport(versions, [*rejected_products(), *rejected_stores(), *rejected_sales()])
