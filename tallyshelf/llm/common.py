@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyshelf.session import scratch_path
+from tallyshelf.session import remove_path, scratch_path
 
 #: What separates words in every operator of this package: ASCII white space, as bytes.split() has it.
 SPACES = "\x20\x09-\x0D"
@@ -46,7 +46,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """The frame, written once to the shared scratch folder: later jobs read files and not its lineage."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_path = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove stored frames before the end of the process, once all that was made of them is stored too."""
+    for frame in frames:
+        remove_path(frame.sparkSession, frame._stored_path)
 
 
 def release(spark: SparkSession) -> None:

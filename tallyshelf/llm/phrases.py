@@ -49,13 +49,13 @@ from tallyshelf.llm.chunks import (
     with_answers,
     BLOCKS_DDL,
 )
-from tallyshelf.llm.common import mix, numbering, pack, pack_sorted, stored, table, unpack, unpack_sorted
+from tallyshelf.llm.common import discard, mix, numbering, pack, pack_sorted, release, stored, table, unpack, unpack_sorted
 from tallyshelf.operators.joins import broadcast_if_small
 
 LEAST = 100
 MOST_WORDS = 5
 REPORTED = 2000
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 8 << 20
 SALTS = 64
 PARTS_BYTES = 64 << 20
 #: Of the columns a, total, l and r. Decimals of 19 digits multiply to 38, and the quotient is a long integer.
@@ -407,14 +407,26 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, most: int = MOST_WORDS) -
     buckets = bucket_count(chunks)
     merge = _sums_at_least(least)
 
+    def kept(frame: DataFrame, label: str) -> DataFrame:
+        """Stored; what was shuffled for it may go."""
+        out = stored(frame, label)
+        release(docs.sparkSession)
+        return out
+
     def answered(blocks: DataFrame, kind: int) -> DataFrame:
-        return stored(answer(blocks.filter(F.col("kind") == kind), merge, kind), "answers")
+        return kept(answer(blocks.filter(F.col("kind") == kind), merge, kind), "answers")
 
     words = answered(ask(chunks, _ask_words(buckets), WORDS), WORDS)
-    pairs = stored(with_answers(chunks, words, _ask_pairs(buckets), BLOCKS_DDL), "pairs")
-    longer = stored(_with_records(pairs, answered(pairs, PAIRS), _ask_longer(buckets, most)), "longer")
-    found = _with_records(longer, answered(longer, LONGER), _send_found(buckets, most))
-    return stored(found.groupBy("bucket").applyInArrow(_sum_found(least, most), PHRASES_DDL), "phrases")
+    pairs = kept(with_answers(chunks, words, _ask_pairs(buckets), BLOCKS_DDL), "pairs")
+    discard(chunks, words)
+    known = answered(pairs, PAIRS)
+    longer = kept(_with_records(pairs, known, _ask_longer(buckets, most)), "longer")
+    discard(pairs, known)
+    known = answered(longer, LONGER)
+    found = _with_records(longer, known, _send_found(buckets, most))
+    found = kept(found.groupBy("bucket").applyInArrow(_sum_found(least, most), PHRASES_DDL), "phrases")
+    discard(longer, known)
+    return found
 
 
 def scored_phrases(docs: DataFrame, least: int = LEAST, most: int = MOST_WORDS) -> DataFrame:
