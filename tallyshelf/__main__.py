@@ -52,6 +52,7 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--warehouse-predicate", nargs="*", default=[], help="one condition per task")
     parser.add_argument("--warehouse-split", default="", metavar="COLUMN", help="numeric column to read in parallel by")
     parser.add_argument("--warehouse-bounds", nargs=2, type=int, default=[0, 0], metavar=("LOW", "HIGH"))
+    parser.add_argument("--warehouse-plan-by", default="", metavar="COLUMN", help="column that the warehouse is asked to split evenly")
     parser.add_argument("--warehouse-splits", type=int, default=1, help="tasks that read the warehouse table")
     parser.add_argument("--shuffle-tasks", type=int, default=2000, help="parts a shuffle is written in, merged by size")
     parser.add_argument("--hive", action=argparse.BooleanOptionalAction, default=True, help="use the Hive catalog")
@@ -86,6 +87,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             args.warehouse_split,
             tuple(args.warehouse_bounds),
             args.warehouse_splits,
+            plan_by=args.warehouse_plan_by,
         )
         load_products(spark, warehouse, unseen_only=args.unseen_only)
     elif args.stage == "all":

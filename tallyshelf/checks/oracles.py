@@ -145,6 +145,11 @@ select cast(i + 1 as int) as batch_id, cast(least(1000, n - i * 1000) as int) as
 from (select n, unnest(range(0, cast(ceil(n / 1000) as bigint))) as i from (select count(*) as n from raw_sales))
 """
 
+_PRICES = """
+(select case when l_linenumber <> 7 then l_extendedprice * case when l_orderkey % 2 = 0 then 1 else 1000 end end as price
+ from lineitem)"""
+
+
 def _rejections() -> str:
     """Rows of each feed that fail each rule; a null fails."""
     rules = {
@@ -292,6 +297,16 @@ _QUERIES = {
         from (select * from raw_stores union select * replace (concat('A', city) as city) from raw_stores)""",
     "load_stores": "select distinct * from raw_stores",
     "load_products": "select sku_id, sku_name, category, subcategory, brand, list_price from raw_products",
+    "warehouse_splits": f"""
+        select split, count(*) as n_rows
+        from (select coalesce((
+                  select max(split) from (
+                      select min(price) as low, cast(part as int) as split
+                      from (select price, ntile(8) over (order by price) as part from {_PRICES} where price is not null)
+                      group by part)
+                  where low <= price), 0) as split
+              from {_PRICES} prices)
+        group by split""",
     "upper_to_lower_columns": "select sku_id, sku_name, category, subcategory, brand, list_price from raw_products",
     "nan_to_null": """
         select p_partkey, case when p_partkey % 7 = 0 then null else p_retailprice end as list_price from part""",

@@ -66,7 +66,7 @@ from tallyshelf.sinks.versions import replace_table
 from tallyshelf.sources.files import read_row_feed, read_sales_data, read_store_csv
 from tallyshelf.sources.tables import read_hive_table
 from tallyshelf.sources.topic import Topic, read_topic
-from tallyshelf.sources.warehouse import Warehouse
+from tallyshelf.sources.warehouse import Warehouse, plan_predicates
 from tallyshelf.streaming.landing import (
     Landing,
     compact,
@@ -531,6 +531,16 @@ def q_load_products(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(name)
 
 
+def q_warehouse_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that each of eight planned splits reads of a column in which half of the rows are near each other."""
+    view = f"prices_{uuid.uuid4().hex}"
+    price = F.when(F.col("l_linenumber") != 7, F.col("l_extendedprice") * F.when(F.col("l_orderkey") % 2 == 0, 1).otherwise(1000))
+    table(spark, sf, "lineitem").select(price.alias("price")).createTempView(view)
+    predicates = plan_predicates(Warehouse(view, plan_by="price", splits=8), spark.sql)
+    parts = [spark.table(view).filter(p).agg(F.count("*").alias("n_rows")).withColumn("split", F.lit(k)) for k, p in enumerate(predicates)]
+    return union_rows(*parts)
+
+
 def q_upper_to_lower_columns(spark: SparkSession, sf: str) -> DataFrame:
     return product_rows(_warehouse_rows(spark, sf))
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from datetime import date, datetime, timedelta
+from decimal import Decimal
 from types import SimpleNamespace
 
 import pytest
@@ -14,7 +16,7 @@ from tallyshelf.schemas import PRODUCTS_SCHEMA, SALES_SCHEMA, STORES_SCHEMA, as_
 from tallyshelf.sources.files import read_row_feed, read_sales_data, read_store_csv
 from tallyshelf.sources.tables import read_hive_table
 from tallyshelf.sources.topic import Topic
-from tallyshelf.sources.warehouse import Warehouse, read_warehouse_table
+from tallyshelf.sources.warehouse import Warehouse, plan_predicates, read_warehouse_table, split_predicates
 
 INTEGER_TEXTS = [
     "3.7", "5", "x", "", "-2.9", "1e3", "1.5e3", "5d", "5.5f", ".5", " 5 ", "+7", "3000000000", "NaN", "Infinity", "-",
@@ -181,6 +183,61 @@ def test_warehouse_predicates_are_tasks():
     }
 
 
+def planned_sizes(spark, values, kind, splits=8):
+    """Rows that each predicate gets, where every row has to be got once."""
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(values)], f"id int, c {kind}")
+    df.createOrReplaceTempView("planned")
+    predicates = plan_predicates(Warehouse("planned", plan_by="c", splits=splits), spark.sql)
+    got = [{r.id for r in df.filter(p).collect()} for p in predicates]
+    assert sum(map(len, got)) == len(values) == len(set().union(*got))
+    return [len(g) for g in got]
+
+
+@pytest.mark.parametrize("kind, make", [
+    ("double", lambda k: 1.1 ** k), ("long", lambda k: k * k * k), ("decimal(30,3)", lambda k: Decimal(k) ** 3),
+    ("string", lambda k: f"it's {k:03}"), ("date", lambda k: date(2000, 1, 1) + timedelta(days=k * k)),
+    ("timestamp", lambda k: datetime(2000, 1, 1) + timedelta(seconds=k**3)),
+])
+def test_planned_splits_of_a_skewed_column(spark, kind, make):
+    nulls, *sizes = planned_sizes(spark, [make(k) for k in range(160)] + [None] * 5, kind)
+    assert nulls == 5 and len(sizes) == 8 and max(sizes) <= 2 * min(sizes)
+
+
+def test_planned_splits_of_few_values(spark):
+    assert planned_sizes(spark, [None, None], "int") == [2, 0]
+    assert planned_sizes(spark, [], "int") == [0, 0]
+    assert planned_sizes(spark, [7] * 20, "int") == [0, 20]
+    # One value is never cut, so all equal parts may start with it.
+    assert planned_sizes(spark, [1] * 80 + [2, 3, 4], "int") == [0, 83]
+    assert planned_sizes(spark, [1] * 40 + list(range(2, 42)), "int") == [0, 40, 10, 10, 10, 10]
+    assert planned_sizes(spark, [3, 1, 2], "int", splits=50) == [0, 1, 1, 1]
+    with pytest.raises(ValueError, match="does not split"):
+        split_predicates("c", [True, False])
+
+
+def test_a_planned_read_asks_the_warehouse_first():
+    asked = []
+
+    class Reader:
+        def format(self, name):
+            return self
+
+        def options(self, **options):
+            asked.append(options)
+            return self
+
+        def load(self):
+            return SimpleNamespace(collect=lambda: [(1,), (5,), (9,)])
+
+        def jdbc(self, url, table, predicates, properties):
+            asked.append(predicates)
+
+    source = Warehouse("t", "jdbc:x", plan_by="n", splits=3, properties={"user": "u"})
+    read_warehouse_table(SimpleNamespace(read=Reader()), source)
+    assert asked[0]["dbtable"].startswith("(SELECT MIN(value)") and asked[0]["url"] == "jdbc:x"
+    assert asked[1] == ["n IS NULL", "n < 5", "n >= 5 AND n < 9", "n >= 9"]
+
+
 def test_warehouse_connector_reads_any_provider(spark, tmp_path):
     spark.range(3).write.parquet(f"{tmp_path}/w")
     source = Warehouse("unused", provider="parquet", properties={"path": f"{tmp_path}/w"})
