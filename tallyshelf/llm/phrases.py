@@ -5,9 +5,9 @@ All counts are per language. Shards are chunks of documents (`chunks.py`), whate
 
 1. Words that occur fewer than `least` times cannot be in a candidate, nor can pairs of words below it, nor longer
    phrases. Shards send packed counts of hashed words to buckets of keys, and get back one bit for each key; then of
-   hashed pairs, then of phrases of three words and more. Different words with one hash only let more through, as the
-   final counts are of the words themselves.
-2. Each shard numbers its words, breaks its text where a word or pair is out, and builds the Burrows-Wheeler
+   hashed pairs, then of triples. Different words with one hash only let more through, as the final counts are of the
+   words themselves.
+2. Each shard numbers its words, breaks its text where a word, pair or triple is out, and builds the Burrows-Wheeler
    transforms of the text and of the reversed text, sorted to the depth that phrases have. An interval of the one and one
    of the other stand for a phrase; extending it to the left by the first transform moves both, extending it to the right
    by the second. All intervals of a length are extended at once.
@@ -75,7 +75,8 @@ PHRASES = pa.schema([
     ("inside", pa.bool_()),
 ])
 PHRASES_DDL = "lang string, phrase string, n_words int, n long, inside boolean"
-WORDS, PAIRS, LONGER, FOUND, RECORD = range(5)  # kinds of blocks
+WORDS, PAIRS, TRIPLES, FOUND, RECORD = range(5)  # kinds of blocks
+RECORDED = 3  # words of the longest phrases that shards keep and ask for
 
 
 class Words:
@@ -283,29 +284,36 @@ def _ask_pairs(buckets: int):
     return use
 
 
-def _ask_longer(buckets: int, most: int):
-    """Phrases of three words and more, and a record of all phrases: places, counts and what is beside them."""
+def _ask_triples(buckets: int, most: int):
+    """Phrases of three words, and a record of those of up to three: places, counts and what is beside them."""
 
     def use(number: int, data: bytes, got: dict[int, bytes]) -> pa.Table:
         words, _ = Words.load(data)
         at = _pairs(words.text)
         frequent = _frequent(words.keys(_at(words.text, at, 2)), got, buckets)
         words.text = np.insert(words.text, at[~frequent] + 1, 0)
-        levels, keys, counts = [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for length, places, n, left, right in phrases_of(words.text, most):
+        levels, blocks = [], iter(())
+        for length, places, n, left, right in phrases_of(words.text, min(most, RECORDED)):
             order = np.argsort(places)
             places, n, left, right = (a[order] for a in (places, n, left, right))
             sides = ((left > 0) | (right > 0) << 1).astype(np.uint8)
             levels += [np.diff(places, prepend=0).astype(np.int32), n.astype(np.int32), sides]
-            if length > 2:
-                keys.append(words.keys(_at(words.text, places, length)))
-                counts.append(n)
-        blocks = _key_blocks(np.concatenate(keys), np.concatenate(counts), buckets)
-        return _with_record(number, blocks, LONGER, words.dump(*levels))
+            if length == RECORDED:
+                blocks = _key_blocks(words.keys(_at(words.text, places, length)), n, buckets)
+        return _with_record(number, blocks, TRIPLES, words.dump(*levels))
 
     return use
 
 
+def _covered(text: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The text with piece ends in place of words that are in none of the triples at some places."""
+    kept = np.zeros(len(text), bool)
+    for k in range(RECORDED):
+        kept[places + k] = True
+    text = np.where(kept, text, 0)
+    return text[np.concatenate([[True], (text[1:] != 0) | (text[:-1] != 0)])]
+
+
 def _send_found(buckets: int, most: int):
     """Phrases and words that may be frequent, as text, to the bucket of each."""
 
@@ -314,19 +322,26 @@ def _send_found(buckets: int, most: int):
         text, names = words.text, pa.array(words.words, pa.binary())
         nothing = np.zeros(len(words.words) - 1, np.int64)
         own = np.arange(1, len(words.words))
+        # Where frequent triples are: longer phrases are made up of these.
+        at = np.flatnonzero((text[:-2] != 0) & (text[1:-1] != 0) & (text[2:] != 0)) if most >= RECORDED else own[:0]
+        at = at[_frequent(words.keys(_at(text, at, RECORDED)), got, buckets)]
+        frequent = np.zeros(len(text), bool)
+        frequent[at] = True
         # Per length: the words, their counts, and the only word to the left and right of each phrase.
         found = [(own[:, None], words.counts[1:], nothing, nothing)]
-        for length in range(2, most + 1):
+        for length in range(2, min(most, RECORDED) + 1):
             gaps, n, sides = levels[3 * (length - 2) : 3 * (length - 1)]
             places = np.cumsum(gaps.astype(np.int64))
+            if length == RECORDED:
+                n, sides, places = (a[frequent[places]] for a in (n, sides, places))
             left = np.where(sides & 1, text[places - 1], 0)
             right = np.where(sides & 2, text[places + length], 0)
             found.append((_at(text, places, length), n.astype(np.int64), left, right))
-        longer = [words.keys(f[0]) for f in found[2:]]
-        frequent = _frequent(np.concatenate([np.zeros(0, np.uint64), *longer]), got, buckets)
-        for k, flags in enumerate(np.split(frequent, np.cumsum([len(x) for x in longer])[:-1]), 2):
-            if k < len(found):
-                found[k] = tuple(a[flags] for a in found[k])
+        if most > RECORDED:
+            text = _covered(text, at)
+            for length, places, n, left, right in phrases_of(text, most):
+                if length > RECORDED:
+                    found.append((_at(text, places, length), n, left, right))
         lines, keys, counts, lengths, langs = [], [], [], [], []
         for of, n, left, right in found:
             parts = [names.take(pa.array(of[:, k])) for k in range(of.shape[1])]
@@ -420,12 +435,12 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, most: int = MOST_WORDS) -
     pairs = kept(with_answers(chunks, words, _ask_pairs(buckets), BLOCKS_DDL), "pairs")
     discard(chunks, words)
     known = answered(pairs, PAIRS)
-    longer = kept(_with_records(pairs, known, _ask_longer(buckets, most)), "longer")
+    triples = kept(_with_records(pairs, known, _ask_triples(buckets, most)), "triples")
     discard(pairs, known)
-    known = answered(longer, LONGER)
-    found = _with_records(longer, known, _send_found(buckets, most))
+    known = answered(triples, TRIPLES)
+    found = _with_records(triples, known, _send_found(buckets, most))
     found = kept(found.groupBy("bucket").applyInArrow(_sum_found(least, most), PHRASES_DDL), "phrases")
-    discard(longer, known)
+    discard(triples, known)
     return found
 
 
