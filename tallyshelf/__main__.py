@@ -74,8 +74,9 @@ def _settings(args: argparse.Namespace) -> Settings:
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
+    rerun = {"unseen_only": True} if args.unseen_only else {}
     if args.stage == "load-stores":
-        loaded = load_stores(spark, args.store_csv, multi_line=args.multi_line, unseen_only=args.unseen_only)
+        loaded = load_stores(spark, args.store_csv, multi_line=args.multi_line, **rerun)
         print(f"{loaded.read} rows read, {loaded.duplicates} duplicates, {loaded.appended} appended")
     elif args.stage == "load-products":
         warehouse = Warehouse(
@@ -89,7 +90,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             args.warehouse_splits,
             plan_by=args.warehouse_plan_by,
         )
-        load_products(spark, warehouse, unseen_only=args.unseen_only)
+        load_products(spark, warehouse, **rerun)
     elif args.stage == "all":
         run_stages(spark, _settings(args))
     else:
