@@ -334,6 +334,18 @@ _QUERIES = {
     "landing_totals": """
         select count(*) as n_batches, cast(sum(n_rows) as bigint) as n_rows from envelopes""",
     "redelivered_rows": "select * replace (cast(promo_flag + 1 as int) as promo_flag) from raw_sales",
+    "landing_gaps": """
+        , sent as (select batch_id, case when batch_id % 5 = 0 then 1 else 2 end as n
+                      from envelopes where (batch_id // 5) % 2 = 0),
+             missing as (select i - row_number() over (order by i) as island, i
+                         from (select unnest(range(1, (select max(batch_id) + 1 from sent))) as i)
+                         where i not in (select batch_id from sent)),
+             repeated as (select batch_id - row_number() over (order by batch_id) as island, batch_id as i
+                          from sent where n = 2)
+        select 'missing' as kind, min(i) as first, max(i) as last, cast(0 as bigint) as deliveries
+        from missing group by island
+        union all
+        select 'repeated', cast(min(i) as bigint), cast(max(i) as bigint), cast(2 as bigint) from repeated group by island""",
     "resent_empty": """
         select batch_id, case when batch_id % 2 = 0 then 0 else n_rows end as n_rows,
                cast(case when batch_id % 2 = 0 then 0 else n_rows end as bigint) as n_lines

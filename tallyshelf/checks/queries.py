@@ -72,6 +72,7 @@ from tallyshelf.streaming.landing import (
     compact,
     land,
     landed_batches,
+    landing_gaps,
     landing_totals,
     read_landed,
     read_landed_text,
@@ -666,6 +667,19 @@ def q_snapshot_rows(spark: SparkSession, sf: str) -> DataFrame:
     return read_landed(spark, landing, before)
 
 
+def q_landing_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Every second five batches are never sent, and of the others all but each fifth once more after a compaction."""
+    topic, landing = _topic_and_landing(spark)
+    messages = to_messages(_envelopes(spark, sf))
+    number = F.regexp_extract("key", r"(\d+)$", 1).cast("int")
+    sent = F.floor(number / 5) % 2 == 0
+    for chosen in (sent, sent & (number % 5 != 0)):
+        write_topic(messages.filter(chosen), topic)
+        land(read_topic(spark, topic), landing)
+        compact(spark, landing)
+    return landing_gaps(spark, landing)
+
+
 def q_resent_empty(spark: SparkSession, sf: str) -> DataFrame:
     """Every second batch is sent again without rows: the manifest and the rows agree on that."""
     topic, landing = _landed(spark, sf)

@@ -1,0 +1,67 @@
+from __future__ import annotations
+
+from itertools import groupby
+
+import pytest
+from pyspark.sql import types as T
+
+from tallyshelf.operators.ranges import delivery_ranges
+from tallyshelf.streaming.landing import Landing, compact, land_messages, landing_gaps, topic_gaps
+
+ROW = T.StructType().add("sku_id", "string")
+DELIVERED = {
+    "a": [1, 2, 3, 3, 4, 4, 5, 5, 5, 6, 9, 9, 10, 10, 25, 26],
+    "b": [7, 7, 8, 8],
+    "c": [-12, -11, -11, -10, -10, -3, 0, 0],
+    "d": list(range(100)) * 2 + list(range(200, 300)),
+    None: [3, 3, 5],
+}
+
+
+def by_hand(numbers, start):
+    """Missing and repeated ranges by going through all numbers."""
+    first = min(numbers) if start is None else min(start, min(numbers))
+    counts = [(n, numbers.count(n)) for n in range(first, max(numbers) + 1)]
+    out = []
+    for times, group in groupby(counts, key=lambda nc: nc[1]):
+        found = [n for n, _ in group]
+        if times != 1:
+            out.append(("repeated" if times else "missing", found[0], found[-1], times))
+    return out
+
+
+@pytest.mark.parametrize("start", [None, 1])
+@pytest.mark.parametrize("span", [1, 3, 10, 1_000_000])
+def test_ranges_of_every_span(spark, start, span):
+    rows = [(s, n) for s, numbers in DELIVERED.items() for n in numbers] + [("a", None), (None, None)]
+    numbers = spark.createDataFrame(rows, "source string, number int").repartition(3)
+    found = {tuple(r) for r in delivery_ranges(numbers, "source", "number", start, span).collect()}
+    assert found == {(s, *r) for s, n in DELIVERED.items() for r in by_hand(n, start)}
+
+
+def test_nothing_delivered_has_no_ranges(spark):
+    assert not delivery_ranges(spark.createDataFrame([], "s string, n int"), "s", "n", 1).collect()
+
+
+def send(spark, landing, epoch, *messages):
+    """Messages with Kafka's partition and offset; None as batch is text that is no envelope."""
+    rows = [
+        ("k", "torn" if b is None else f'{{"batch_id": {b}, "rows": [{{"sku_id": "x"}}]}}', f"{epoch:020d}-{p:010d}-{o:020d}")
+        for b, p, o in messages
+    ]
+    land_messages(spark.createDataFrame(rows, "key string, value string, arrival string"), epoch, landing)
+
+
+def test_gaps_of_a_landing_outlive_compaction(spark, tmp_path):
+    landing = Landing(f"{tmp_path}/landed", ROW)
+    send(spark, landing, 0, (2, 0, 10), (3, 0, 11), (None, 0, 12), (6, 1, 5))
+    gaps = [("missing", 1, 1, 0), ("missing", 4, 5, 0)]
+    assert sorted(map(tuple, landing_gaps(spark, landing).collect())) == gaps
+    compact(spark, landing)
+    send(spark, landing, 1, (3, 0, 15), (3, 0, 13), (2, 0, 10), (7, 1, 6))
+    wanted = sorted([*gaps, ("repeated", 2, 2, 2), ("repeated", 3, 3, 3)])
+    offsets = [(0, "missing", 14, 14, 0), (0, "repeated", 10, 10, 2)]
+    for _ in range(2):
+        assert sorted(map(tuple, landing_gaps(spark, landing).collect())) == wanted
+        assert sorted(map(tuple, topic_gaps(spark, landing).collect())) == offsets
+        compact(spark, landing)
