@@ -170,6 +170,11 @@ def _rejections() -> str:
     return " union all ".join(parts)
 
 
+# A third of all sales on one product.
+SPLIT_SALES = """
+select * replace (case when lead_time_days % 3 = 0 then 'SKU-2' else sku_id end as sku_id) from clean_sales
+"""
+
 _VIEWS = {
     "raw_products": RAW_PRODUCTS,
     "raw_stores": RAW_STORES,
@@ -180,6 +185,7 @@ _VIEWS = {
     "clean_stores": CLEAN_STORES,
     "norm_sales": NORM_SALES,
     "clean_sales": CLEAN_SALES,
+    "split_sales": SPLIT_SALES,
     "joined": JOINED,
     "enriched": ENRICHED,
     "overview": OVERVIEW,
@@ -196,6 +202,8 @@ _QUERIES = {
     "clean_sales_staged": f"select {_DATED} from clean_sales",
     "replaced_table": "select * from clean_products",
     "join_sources": f"select {_DATED} from joined",
+    "join_sources_split": f"""
+        select {_DATED} from ({JOINED.replace("from clean_sales s", "from split_sales s")})""",
     "enriched": f"select {_DATED} from enriched",
     "retail_sales_overview": "select * from overview",
     # Normalising and typing

@@ -38,6 +38,7 @@ from tallyshelf.operators.envelopes import (
 from tallyshelf.operators.filters import has_keys, inside, not_negative, positive, zero_fill
 from tallyshelf.operators.joins import join_sources
 from tallyshelf.operators.reports import preview, row_counts, union_rows
+from tallyshelf.operators.split_join import join_sources_split, save_split
 from tallyshelf.plans.clean import (
     CleanTables,
     clean_products,
@@ -150,6 +151,15 @@ def q_join_sources(spark: SparkSession, sf: str) -> DataFrame:
     return _dates_as_text(_joined(spark, sf))
 
 
+def q_join_sources_split(spark: SparkSession, sf: str) -> DataFrame:
+    """A third of all sales on one product, and products above the bound for broadcasts."""
+    sku = F.when(F.col("lead_time_days") % 3 == 0, "SKU-2").otherwise(F.col("sku_id"))
+    sales = clean_sales(raw_sales(spark, sf)).withColumn("sku_id", sku)
+    split = save_split(sales, "sku_id", f"{_database(spark)}.sales", buckets=8, share=0.1)
+    joined = join_sources_split(split, q_clean_products(spark, sf), q_clean_stores(spark, sf), broadcast_bytes=10_000)
+    return _dates_as_text(joined)
+
+
 def q_enriched(spark: SparkSession, sf: str) -> DataFrame:
     return _dates_as_text(apply_transformations(_joined(spark, sf)))
 
