@@ -10,7 +10,7 @@ The network is trained by backpropagation through time on a bounded sample of la
 (`sample_docs`, in the order of a hash of the id): every position of a document should say the document's
 language. Languages weigh the same, however many documents they have.
 
-Defined cases: null text, empty text and text without a letter is `und` with score 0; so is every text if no
+Defined cases: null text, empty text and text without a letter (by its Unicode category) is `und` with score 0; so is every text if no
 document is labelled; null labels are not learnt from; ties go to the first language in sorted order; repeated
 rows and ids are predicted on their own; other columns are not read; a very long text is read whole, as a group
 of its own.
@@ -18,7 +18,6 @@ of its own.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,7 +31,6 @@ from tallyshelf.llm.common import numbered, numbering, sample_by_hash, split_of,
 
 PIECE = 20
 GROUP_BYTES = 6 << 20
-LETTER = re.compile(r"[^\W\d_]")
 
 
 @dataclass
@@ -209,7 +207,7 @@ def _guesser(net: Network | None):
             names, scores = ["und"] * len(texts), [0.0] * len(texts)
             if net is not None:
                 for k, (text, p) in enumerate(zip(texts, pooled(texts, net), strict=True)):
-                    if LETTER.search(text):
+                    if any(map(str.isalpha, text)):
                         names[k], scores[k] = net.languages[int(p.argmax())], min(1.0, float(p.max()))
             yield pa.RecordBatch.from_arrays(
                 [group["doc_id"].combine_chunks(), group["held_out"].combine_chunks(), pa.array(names), pa.array(scores, pa.float64())],
