@@ -12,7 +12,7 @@ Labelled pages are the hand-labelled ones in `LABELLED_PAGES`, and a bounded sam
 `main` but in no element of `NOT_CONTENT_TAGS`, nor of a class or id in `NOT_CONTENT_WORDS`.
 
 Defined cases: null and empty html, and a page without content, give empty text; broken, unclosed or truncated
-mark-up is read as far as it goes; white space in a block becomes one space; blocks are joined by an empty
+mark-up is read as far as it goes, and an unclosed button, frame or drawing takes no text with it; white space in a block becomes one space; blocks are joined by an empty
 line; nothing is cut, whatever the length; repeated rows and ids give rows of their own; other columns are not
 read. With an empty table only the hand-labelled pages are learnt from.
 """
@@ -23,6 +23,7 @@ import html as entities
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +35,13 @@ from tallyshelf.llm.common import sample_by_hash, table, text_groups
 # Element kinds of HTML.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rb rt rp s samp "
-    "small span strike strong sub sup time tt u var wbr".split()
+    "small span strike strong sub sup time tt u var wbr object "
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle mpadded msub msup msubsup munder mover munderover "
+    "mtable mtr mtd semantics annotation".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("script style noscript template textarea select button svg math iframe object title".split())
+RAW = frozenset("script style textarea title".split())
+SKIPPED = frozenset("noscript template select button svg iframe".split())
 P_CLOSERS = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 "
     "h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split()
@@ -77,8 +81,18 @@ class Page:
     block_link: list[int] = field(default_factory=list)
 
 
+@lru_cache(maxsize=1024)
+def _tags(*names: str) -> re.Pattern:
+    """Any of these tags, closing ones by a slash before the name."""
+    return re.compile(rf"<({'|'.join(map(re.escape, names))})(?![^\s/>])[^>]*(?:>|\Z)", re.I)
+
+
 def parse(source: str) -> Page:
-    """The page's tree; elements deeper than MAX_DEPTH are put there."""
+    """The page's tree; elements deeper than MAX_DEPTH are put there.
+
+    Raw text goes up to its closing tag or the end of the page, as in HTML. An element of SKIPPED is left out if it is
+    closed before the next one of its kind and before an element around it ends; else only its tag is, not what follows.
+    """
     page = Page()
     stack: list[tuple[str, int]] = [("#page", 0)]
     texts: list[str] = []
@@ -123,10 +137,17 @@ def parse(source: str) -> Page:
                     pop(k)
                     break
             continue
+        if tag in RAW:
+            close = _tags(f"/{tag}").search(source, at)
+            at = close.end() if close else end
+            texts.append(" ")
+            continue
         if tag in SKIPPED:
-            if not attributes.rstrip().endswith("/") or tag not in ("svg", "math"):
-                close = re.compile(rf"</{re.escape(tag)}[^>]*(?:>|\Z)", re.I).search(source, at)
-                at = close.end() if close else end
+            if not attributes.rstrip().endswith("/"):
+                around = {f"/{t}" for t, _ in stack[1:] if t != tag}
+                close = _tags(tag, f"/{tag}", *sorted(around)).search(source, at)
+                if close and close[1].lower() == f"/{tag}":
+                    at = close.end()
             texts.append(" ")
             continue
         if tag == "br":
@@ -154,8 +175,9 @@ def parse(source: str) -> Page:
             if to:
                 pop(to)
         if tag in INLINE:
-            link_depth += tag == "a"
+            # Inline elements beyond these many open ones have no effect.
             if len(stack) < 4 * MAX_DEPTH:
+                link_depth += tag == "a"
                 stack.append((tag, stack[-1][1]))
             continue
         flush()
