@@ -9,11 +9,12 @@ that bound; before, pairs are left out whose counts of words in bins show that t
 
 Of the texts in a bucket, neighbours in a chain are compared first, in two levels: in a part of the bucket (by hash),
 and the parts' first texts; that joins most classes with pairs that grow with the bucket. A bucket that still has
-several classes is then cut into blocks of about BLOCK texts by hash, and every two blocks meet in one group, where
-all pairs of texts of different classes are screened by their profiles: first each text's nearest of another class
-in the group is compared, then, with the classes that gives, all that the screen leaves. So any two texts with a
-sketch in common are of one class or were compared, and no group holds more than two blocks. The rows sent to
-blocks grow with the square of such a bucket over BLOCK; buckets of one class send none.
+several classes is then cut into blocks of about BLOCK texts or BLOCK_WORDS words by hash, and every two blocks meet
+in one group with the words of their texts (as 64-bit hashes). There each text is compared with those of other classes
+that the profiles leave, nearest first, and a link makes one class of two at once: so the task verifies, no candidates
+leave it, and a group gives fewer links than it has texts. Any two texts with a sketch in common are of one class or
+were compared, and no group holds more than two blocks. The rows sent to blocks grow with the square of such a
+bucket over BLOCK; buckets of one class send none.
 
 Defined cases: null and empty texts are copies of each other; a text shorter than a run is one run, one with
 fewer runs than PICKS gives all it has; a class is named by the least of its ids, null if it has none; repeated
@@ -38,7 +39,9 @@ PICKS = 2
 SKETCHES = 24
 SIMILARITY = 0.8
 PARTS = 16
-BLOCK = 256
+# Texts and words that a block has at most, about; a longer text is a block of its own.
+BLOCK = 1024
+BLOCK_WORDS = 1 << 18
 BINS = 256
 # Bins that are added up for the first look at a block's pairs.
 FOLD = 16
@@ -261,47 +264,67 @@ def chained(rows: DataFrame, parts: int) -> DataFrame:
     return near.unionAll(far).filter("a is not null and a != b").distinct()
 
 
-def _close_pairs(group: pa.Table, similarity: float, nearest: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the pairs of a group of two blocks that are of different classes and not ruled out by profiles."""
-    n = np.asarray(group["n_words"])
-    profile = np.frombuffer(b"".join(group["profile"].to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)
-    root = numbered(numbering(), group["root"].to_pylist())
+def _worded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for group in text_groups(batches, GROUP_BYTES):
+        words, sizes = word_hashes(group["text"].to_pylist())
+        parts = np.split(words, np.cumsum(sizes)[:-1]) if len(sizes) else []
+        rows = pa.array([w.tobytes() for w in parts], pa.binary())
+        yield pa.RecordBatch.from_arrays([group["body"].combine_chunks(), rows], names=["body", "words"])
+
+
+def _links_in(group: pa.Table, similarity: float) -> tuple[list[int], list[int]]:
+    """Places of similar pairs that join all classes of a group of two blocks that similar pairs of its key can join.
+
+    A pair that meets under several keys is compared under the least of them.
+    """
+    words = [np.frombuffer(w, np.uint64) for w in group["words"].to_pylist()]
+    n = np.array([len(w) for w in words])
+    profile = profiles(np.concatenate(words), n).astype(np.int16)
+    coarse = profile.reshape(len(n), BINS // FOLD, FOLD).sum(axis=2, dtype=np.int32)
+    # Texts of one number are joined already.
+    joined = numbered(numbering(), group["root"].to_pylist()).copy()
+    key = group["key"][0].as_py()
+    keys = group["keys"].to_pylist()
+    table_of = np.full((len(n), max(map(len, keys))), key, np.int64)
+    for row, k in zip(table_of, keys, strict=True):
+        row[: len(k)] = k
     one = group["low"][0] == group["high"][0]
     at = np.arange(len(n))
     first = np.asarray(group["side"]) == group["low"][0].as_py()
     left, right = (at, at) if one else (at[first], at[~first])
-    coarse = profile.reshape(len(n), BINS // FOLD, FOLD).sum(axis=2, dtype=np.int32)
-    some = [(np.empty(0, np.int64),) * 3]
-    for k in left:
-        limit = np.floor((1 - similarity) * np.maximum(n[k], n[right]) + 1e-9)
-        ok = right[(root[right] != root[k]) & (np.abs(n[right] - n[k]) <= limit) & ((right > k) | (not one))]
+    x, y = [], []
+    for k in left.tolist():
+        limit = np.floor((1 - similarity) * np.maximum(n[k], n) + 1e-9)
+        ok = right[(joined[right] != joined[k]) & (np.abs(n[right] - n[k]) <= limit[right]) & ((right > k) | (not one))]
+        least = np.empty(0, np.int64)
         for bins in (coarse, profile):
             gap = bins[k] - bins[ok]
             up, lack = np.maximum(gap, 0).sum(axis=1), gap.sum(axis=1)
             least = np.maximum(up, up - lack)
-            close = least <= np.floor((1 - similarity) * np.maximum(n[k], n[ok]) + 1e-9)
+            close = least <= limit[ok]
             ok, least = ok[close], least[close]
-        some.append((np.full(len(ok), k), ok, least))
-    x, y, least = (np.concatenate(c) for c in zip(*some, strict=True))
-    if nearest:
-        ends, mates = np.concatenate([x, y]), np.concatenate([y, x])
-        order = np.lexsort((mates, np.concatenate([least, least]), ends))
-        order = order[np.diff(ends[order], prepend=-1) != 0]
-        x, y = np.minimum(ends[order], mates[order]), np.maximum(ends[order], mates[order])
+        if not len(ok):
+            continue
+        common = np.isin(table_of[ok], table_of[k])
+        here = np.where(common, table_of[ok], np.iinfo(np.int64).max).min(axis=1) == key
+        for j in ok[here][np.argsort(least[here], kind="stable")].tolist():
+            if joined[j] != joined[k] and banded_distance(words[k], words[j], int(limit[j])) is not None:
+                x.append(k)
+                y.append(j)
+                joined[joined == joined[j]] = joined[k]
     return x, y
 
 
-def _crosser(similarity: float, nearest: bool):
-    """The close pairs of each group of rows that follow one another with the same key, low and high."""
+def _crosser(similarity: float):
+    """Links of each group of rows that follow one another with the same key, low and high."""
 
-    def paired(group: pa.Table) -> Iterator[pa.RecordBatch]:
+    def linked(group: pa.Table) -> Iterator[pa.RecordBatch]:
         if group.num_rows > 1:
-            x, y = _close_pairs(group, similarity, nearest)
+            x, y = _links_in(group, similarity)
             body = group["body"].combine_chunks()
-            # The two sides in the order that a chain's pairs have.
-            pairs = [sorted(p) for p in zip(body.take(pa.array(x)).to_pylist(), body.take(pa.array(y)).to_pylist(), strict=True)]
-            sides = [pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays(sides, names=["a", "b"])
+            yield pa.RecordBatch.from_arrays(
+                [body.take(pa.array(x, pa.int64())), body.take(pa.array(y, pa.int64()))], names=["a", "b"]
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[pa.RecordBatch] = []
@@ -311,23 +334,28 @@ def _crosser(similarity: float, nearest: bool):
             start = 0
             for k, name in enumerate(named):
                 if last is not None and name != last:
-                    yield from paired(pa.Table.from_batches([*kept, batch.slice(start, k - start)]))
+                    yield from linked(pa.Table.from_batches([*kept, batch.slice(start, k - start)]))
                     kept, start = [], k
                 last = name
             kept.append(batch.slice(start))
         if kept:
-            yield from paired(pa.Table.from_batches(kept))
+            yield from linked(pa.Table.from_batches(kept))
 
     return run
 
 
 def crossed(
-    buckets: DataFrame, bodies: DataFrame, roots: DataFrame | None, similarity: float, nearest: bool, block: int = BLOCK
+    buckets: DataFrame,
+    bodies: DataFrame,
+    texts: DataFrame,
+    roots: DataFrame | None,
+    similarity: float,
+    block: int = BLOCK,
+    block_words: int = BLOCK_WORDS,
 ) -> DataFrame | None:
-    """Pairs (a, b) of different classes among the bodies of each key that profiles do not rule out.
+    """Links (a, b) between different classes among the bodies of each key, verified; fewer in a group than it has texts.
 
-    With `nearest` these are each body's nearest in each two blocks of its bucket, else all. None if every key of more
-    than two bodies has one class; a chain has compared the bodies of the others.
+    None if every key of more than two bodies has one class; a chain has compared the bodies of the others.
     """
     named = buckets.withColumn("root", F.col("body"))
     if roots is not None:
@@ -335,22 +363,34 @@ def crossed(
         named = named.withColumn("root", F.coalesce("root", "body"))
     named = stored(named, "named")
     sums = [F.bit_xor(F.xxhash64("body", F.lit(k))).alias(f"sum{k}") for k in (1, 2)]
-    mixed = named.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), *sums)
-    # Keys of the same bodies have the same pairs.
-    mixed = mixed.filter("n > 2 and low != high").groupBy("n", "sum1", "sum2").agg(F.min("key").alias("key"))
-    mixed = stored(mixed.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "mixed")
+    mixed = named.groupBy("key").agg(
+        F.count("*").alias("n"), F.sum("n_words").alias("words"), F.min("root").alias("low"), F.max("root").alias("high"), *sums
+    )
+    wanted = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("words") / block_words))
+    mixed = mixed.filter("n > 2 and low != high").withColumn("blocks", F.least("n", wanted).cast("int"))
+    # Keys of the same bodies have the same pairs: at most as many keys as there are sketches.
+    same = F.min("key").over(Window.partitionBy("n", "sum1", "sum2"))
+    mixed = stored(mixed.select("key", same.alias("same"), "blocks"), "mixed")
     mixed = broadcast_rows_if_few(mixed, SLIM_ROWS)
     if mixed is None:
         return None
-    rows = named.join(mixed, "key").withColumn("side", F.pmod(F.xxhash64("body"), F.col("blocks")).cast("int"))
-    rows = rows.join(bodies.select("body", "n_words", "profile"), "body")
+    rows = named.join(mixed, "key").select("body", "root", F.col("same").alias("key"), "blocks").distinct()
+    rows = stored(rows, "mixed bodies")
+    keys = rows.groupBy("body").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    slim = bodies.select("body", "rep").join(keys.select("body"), "body", "left_semi")
+    slim = broadcast_rows_if_few(stored(slim, "wanted"), SLIM_ROWS)
+    if slim is None:
+        return None
+    worded = texts.join(slim, "body").filter(F.col("doc_id").eqNullSafe(F.col("rep"))).select("body", "text")
+    worded = worded.dropDuplicates(["body"]).mapInArrow(_worded, "body binary, words binary")
+    worded = stored(worded.join(keys, "body"), "words")
+    rows = rows.withColumn("side", F.pmod(F.xxhash64("body"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select(
-        "key", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"),
-        "side", "body", "root", "n_words", "profile",
+        "key", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "body", "root"
     )
-    rows = rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "body")
-    return rows.mapInArrow(_crosser(similarity, nearest), "a binary, b binary").distinct()
+    rows = rows.join(worded, "body").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "body")
+    return stored(rows.mapInArrow(_crosser(similarity), "a binary, b binary"), "links")
 
 
 def near_classes(
@@ -367,7 +407,7 @@ def near_classes(
     sketched = stored(texts.mapInArrow(_sketcher(shingle, picks, sketches), KEYS_DDL), "sketches")
     firsts = [F.first(c).alias(c) for c in ("keys", "n_words", "profile")]
     bodies = stored(sketched.groupBy("body").agg(F.min("doc_id").alias("rep"), *firsts), "bodies")
-    buckets = bodies.select("body", F.explode("keys").alias("key"))
+    buckets = bodies.select("body", "n_words", F.explode("keys").alias("key"))
     shared = buckets.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     buckets = stored(buckets.join(shared, "key"), "buckets")
     small = bodies.select("body", "rep")
@@ -387,25 +427,19 @@ def near_classes(
         )
         return stored(both.mapInArrow(_verifier(similarity), "a binary, b binary"), "links")
 
-    tried = stored(chained(buckets, parts), "pairs")
-    pairs = tried
+    pairs = stored(chained(buckets.select("body", "key"), parts), "pairs")
     for side in "ab":
         pairs = pairs.join(bodies.select(*[F.col(c).alias(f"{c}_{side}") for c in ("body", "n_words", "profile")]),
                            F.col(side) == F.col(f"body_{side}")).drop(f"body_{side}")
     pairs = stored(pairs.mapInArrow(_screener(similarity), "a binary, b binary"), "screened")
-    links, roots = None, None
-    for nearest in (True, False, None):
-        new = linked(pairs)
-        if new is not None and not new.isEmpty():
-            links = new if links is None else links.unionAll(new)
-            roots = components(links)
-        if nearest is None:
-            break
-        pairs = crossed(buckets, bodies, roots, similarity, nearest)
-        if pairs is None:
-            break
-        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried = tried.unionAll(pairs)
+    roots = None
+    links = linked(pairs)
+    if links is not None and not links.isEmpty():
+        roots = components(links)
+    more = crossed(buckets, bodies, texts, roots, similarity)
+    if more is not None and not more.isEmpty():
+        links = more if links is None else links.unionAll(more)
+        roots = components(links)
     found = small if roots is None else small.join(roots.withColumnRenamed("node", "body"), "body", "left")
     found = found.withColumn("root", F.col("body") if roots is None else F.coalesce("root", "body"))
     least = found.groupBy("root").agg(F.min("rep").alias("class_id"))

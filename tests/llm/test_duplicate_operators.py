@@ -120,6 +120,34 @@ def test_a_star_of_copies_is_one_class(spark):
     assert Counter((r.doc_id, r.class_id) for r in found) == classes_by_hand(rows)
 
 
+def test_blocks_link_what_all_pairs_link(spark):
+    """Verified inside the blocks, whatever their size, with fewer links than texts in a group."""
+    rng = random.Random(11)
+    texts = []
+    for _ in range(30):
+        base = [f"w{rng.randrange(300)}" for _ in range(40)]
+        texts += [base] + [[*base[:at], f"n{rng.randrange(10**6)}", *base[at + 1 :]] for at in rng.sample(range(40), 3)]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("body", F.unhex(F.md5("text")))
+    bodies = docs.select("body", F.col("doc_id").alias("rep"))
+    # All texts have the first key, and every second one the other two, which have the same texts.
+    keys = F.when(F.col("doc_id") % 2 == 0, F.array(F.lit(5), F.lit(3), F.lit(4))).otherwise(F.array(F.lit(5)))
+    buckets = docs.select("body", F.lit(40).cast("long").alias("n_words"), F.explode(keys.cast("array<long>")).alias("key"))
+    wanted = classes_by_hand(rows)
+    number = {r.body: r.doc_id for r in docs.collect()}
+    for block, words in ((1, 1 << 18), (17, 1 << 18), (1000, 400), (1000, 1 << 18)):
+        links = order_minhash.crossed(buckets, bodies, docs, None, 0.8, block, words)
+        pairs = [(number[bytes(r.a)], number[bytes(r.b)]) for r in links.collect()]
+        if block == 1000 and words == 1 << 18:
+            assert len(pairs) <= len(rows) - len({c for _, c in wanted})
+        roots = {k: k for k, _ in rows}
+        for a, b in pairs:
+            assert order_minhash.similar(texts[a], texts[b], 0.8)
+            one, two = sorted((roots[a], roots[b]))
+            roots = {k: one if r == two else r for k, r in roots.items()}
+        assert Counter(roots.items()) == wanted
+
+
 def test_pairs_grow_with_the_bucket_and_not_with_its_square(spark):
     rows = spark.range(1000).select(F.lit(1).cast("long").alias("key"), F.sha2(F.col("id").cast("string"), 256).cast("binary").alias("body"))
     pairs = order_minhash.chained(rows, 16)
