@@ -139,7 +139,8 @@ def test_blocks_link_what_all_pairs_link(spark):
         links = order_minhash.crossed(buckets, bodies, docs, None, 0.8, block, words)
         pairs = [(number[bytes(r.a)], number[bytes(r.b)]) for r in links.collect()]
         if block == 1000 and words == 1 << 18:
-            assert len(pairs) <= len(rows) - len({c for _, c in wanted})
+            # Classes have four texts, two of them also under the other key: the links of each key are a forest.
+            assert len(pairs) <= 30 * (3 + 1)
         roots = {k: k for k, _ in rows}
         for a, b in pairs:
             assert order_minhash.similar(texts[a], texts[b], 0.8)
