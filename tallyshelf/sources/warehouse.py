@@ -46,10 +46,27 @@ class Warehouse:
 
 
 def cuts_sql(table: str, column: str, splits: int) -> str:
-    """The least value of each of `splits` equal parts of a column, in SQL that any warehouse knows."""
+    """The least value of each of `splits` equal parts of a column, in SQL that any warehouse knows.
+
+    Parts are those of NTILE. Values are counted first, so that what has to be put in order, by one task in some
+    warehouses, is one row for each distinct value. A value is the least of a part if the parts of its last row and of
+    the row before its first differ.
+    """
+
+    def part(place: str) -> str:
+        extra = f"(total - {splits} * FLOOR(total / {splits}))"
+        longer = f"{extra} * (FLOOR(total / {splits}) + 1)"
+        return (
+            f"CASE WHEN {place} < 0 THEN -1 WHEN {place} < {longer} THEN FLOOR({place} / (FLOOR(total / {splits}) + 1)) "
+            f"ELSE {extra} + FLOOR(({place} - {longer}) / FLOOR(total / {splits})) END"
+        )
+
+    counts = f"SELECT {column} AS value, COUNT(*) AS n FROM {table} WHERE {column} IS NOT NULL GROUP BY {column}"
+    runs = f"SELECT value, n, SUM(n) OVER (ORDER BY value ROWS UNBOUNDED PRECEDING) AS upto FROM ({counts}) counts"
+    total = f"SELECT COUNT({column}) AS total FROM {table}"
     return (
-        f"SELECT MIN(value) AS value FROM (SELECT {column} AS value, NTILE({splits}) OVER (ORDER BY {column}) AS part "
-        f"FROM {table} WHERE {column} IS NOT NULL) parts GROUP BY part"
+        f"SELECT MIN(value) AS value FROM ({runs}) runs CROSS JOIN ({total}) whole "
+        f"WHERE {part('(upto - 1)')} <> {part('(upto - n - 1)')} GROUP BY upto"
     )
 
 

@@ -16,7 +16,7 @@ from tallyshelf.schemas import PRODUCTS_SCHEMA, SALES_SCHEMA, STORES_SCHEMA, as_
 from tallyshelf.sources.files import read_row_feed, read_sales_data, read_store_csv
 from tallyshelf.sources.tables import read_hive_table
 from tallyshelf.sources.topic import Topic
-from tallyshelf.sources.warehouse import Warehouse, plan_predicates, read_warehouse_table, split_predicates
+from tallyshelf.sources.warehouse import Warehouse, cuts_sql, plan_predicates, read_warehouse_table, split_predicates
 
 INTEGER_TEXTS = [
     "3.7", "5", "x", "", "-2.9", "1e3", "1.5e3", "5d", "5.5f", ".5", " 5 ", "+7", "3000000000", "NaN", "Infinity", "-",
@@ -282,3 +282,17 @@ def test_required_values_are_searched_beyond_the_first_rows(spark):
     with pytest.raises(ValueError, match="never"):
         require_values(df, ("late", "never"))
     require_values(df.limit(0), ("never",))
+
+
+@pytest.mark.parametrize("splits", [1, 3, 8, 50])
+def test_cuts_are_those_of_ntile_from_counted_values(spark, splits):
+    values = [None, None, *[n % 7 for n in range(40)], *range(100, 129), *[500] * 31]
+    spark.createDataFrame([(v,) for v in values], "v int").createOrReplaceTempView("cut_values")
+    for table in ("cut_values", "(SELECT v FROM cut_values WHERE v < 3) few", "(SELECT v FROM cut_values WHERE v = 110) one"):
+        cuts = spark.sql(cuts_sql(table, "v", splits))
+        parts = f"SELECT v, NTILE({splits}) OVER (ORDER BY v) AS part FROM {table} WHERE v IS NOT NULL"
+        wanted = spark.sql(f"SELECT DISTINCT MIN(v) FROM ({parts}) GROUP BY part")
+        assert sorted(r[0] for r in cuts.collect()) == sorted(r[0] for r in wanted.collect())
+        plan = cuts._jdf.queryExecution().optimizedPlan().toString()
+        assert "Aggregate" in plan[plan.index("Window") :], "only counted values are put in order"
+    spark.catalog.dropTempView("cut_values")
