@@ -100,6 +100,15 @@ def test_csv_text(spark, tmp_path):
     assert sorted(map(tuple, back.filter("n < 3").collect())) == rows[:2]
 
 
+def test_csv_may_be_compressed(spark, tmp_path):
+    df = spark.range(5000, numPartitions=2).selectExpr("id", "'a long label that every row has' as label")
+    assert export_csv(df, f"{tmp_path}/e", compression="gzip") == 5000
+    written = glob.glob(f"{tmp_path}/e/part-*")
+    assert len(written) == 2 and all(name.endswith(".csv.gz") for name in written)
+    back = spark.read.option("header", True).schema(df.schema).csv(f"{tmp_path}/e")
+    assert back.exceptAll(df).count() == 0 and back.count() == 5000
+
+
 def test_s3a_options():
     # Standard variables, temporary credentials included, are the default providers' business.
     assert s3a_options({"AWS_ACCESS_KEY_ID": "a", "AWS_SECRET_ACCESS_KEY": "b", "AWS_SESSION_TOKEN": "c"}) == {}
