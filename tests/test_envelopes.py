@@ -118,3 +118,47 @@ def test_publishing_a_feed_leaves_no_staging_behind(spark, tmp_path):
         spark.range(1).write.parquet(path)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
+
+
+def test_rows_reach_their_envelopes_without_a_shuffle(spark):
+    """Only envelopes that begin in one task and end in another go through an exchange."""
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(10_000, numPartitions=3).select(F.col("id").cast("string").alias("sku_id"), F.lit(None).cast("int").alias("n"))
+        envelopes = pack_envelopes(df, scratch_path(spark, "t"), 100)
+        found = {r.batch_id: [row.sku_id for row in r.rows] for r in envelopes.collect()}
+        plan = envelopes._jdf.queryExecution().executedPlan()
+        sent = []
+
+        def walk(node):
+            names = [node.output().apply(k).name() for k in range(node.output().size())]
+            if node.nodeName() == "Exchange" and "row" in names:
+                sent.append(node.metrics().apply("shuffleRecordsWritten").value())
+            for k in range(node.children().size()):
+                walk(node.children().apply(k))
+
+        walk(plan)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert found == {b + 1: [str(i) for i in range(100 * b, 100 * b + 100)] for b in range(100)}
+    # Three tasks: two places where an envelope may be cut.
+    assert len(sent) == 1 and sent[0] <= 200
+
+
+def test_envelopes_of_files_that_are_read_in_pieces(spark):
+    """Tasks read a stored file from several places, and small files in an order of their own."""
+    before = {n: spark.conf.get(n) for n in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for name, value in zip(before, ("3000b", "1b"), strict=True):
+            spark.conf.set(name, value)
+        df = spark.range(4321, numPartitions=9).filter("id % 5 != 2 or id > 3000").select(F.repeat(F.col("id").cast("string"), 3).alias("k"), "id")
+        envelopes = pack_envelopes(df, scratch_path(spark, "t"), 70).orderBy("batch_id").collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    wanted = [i for i in range(4321) if i % 5 != 2 or i > 3000]
+    assert [e.batch_id for e in envelopes] == list(range(1, -(-len(wanted) // 70) + 1))
+    assert {len(e.rows) for e in envelopes[:-1]} == {70}
+    assert [row.id for e in envelopes for row in e.rows] == wanted
+    assert all(row.k == str(row.id) * 3 for e in envelopes for row in e.rows)
