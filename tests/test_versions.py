@@ -8,8 +8,10 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tallyshelf.checks import feeds
 from tallyshelf.operators import dedup
 from tallyshelf.operators.reports import observe_values
+from tallyshelf.plans.clean import clean_sales
 from tallyshelf.sinks.versions import kept_versions, replace_table, replace_tables
 
 
@@ -158,3 +160,31 @@ def test_only_rows_that_may_have_copies_are_shuffled_whole(spark, tmp_path):
     assert len(found.collect()) == 5000
     wide = [n for columns, n in shuffled_rows(found._jdf.queryExecution().executedPlan()) if columns >= 3]
     assert wide and sum(wide) <= 40
+
+
+@pytest.mark.parametrize("limit", [0, 10**6])
+def test_distinct_by_rescan(spark, tmp_path, limit):
+    odd_rows(spark).write.parquet(f"{tmp_path}/rows")
+    df = spark.read.parquet(f"{tmp_path}/rows")
+    found = dedup.distinct_by_rescan(df, limit=limit)
+    assert found.columns == df.columns and plain(found) == plain(df.dropDuplicates())
+    assert {str(v) for r in found.collect() for v in r} == {str(v) for r in df.dropDuplicates().collect() for v in r}
+
+
+def test_cleaned_sales_without_copies_are_not_shuffled(spark, tmp_path):
+    """Whole rows that go through an exchange are those that may have copies."""
+    lines = spark.range(3000).selectExpr(
+        "id l_orderkey", "1 l_linenumber", "id % 50 l_partkey", "id % 7 l_suppkey", "1.0D + id l_quantity", "2.0D * id l_extendedprice",
+        "0.1D l_discount", "0.02D l_tax", "'R' l_returnflag", "timestamp'2024-01-05' l_shipdate",
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    feeds.raw_sales(spark, str(tmp_path)).write.parquet(f"{tmp_path}/sales")
+    cleaned = clean_sales(spark.read.parquet(f"{tmp_path}/sales"))
+    n = len(cleaned.collect())
+    wide = [rows for columns, rows in shuffled_rows(cleaned._jdf.queryExecution().executedPlan()) if columns >= 3]
+    assert wide and sum(wide) < n / 10
+
+
+def test_rows_that_change_when_read_again_are_shuffled(spark):
+    df = spark.range(200).select((F.rand() * 5).cast("int").alias("k"))
+    assert dedup.distinct_by_rescan(df).count() <= 5
