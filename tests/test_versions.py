@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyshelf.checks import feeds
 from tallyshelf.operators import dedup
 from tallyshelf.operators.reports import observe_values
-from tallyshelf.plans.clean import clean_sales
+from tallyshelf.plans.clean import CleanTables, clean_sales, save_clean_tables
 from tallyshelf.sinks.versions import kept_versions, replace_table, replace_tables
 
 
@@ -185,6 +185,32 @@ def test_cleaned_sales_without_copies_are_not_shuffled(spark, tmp_path):
     assert wide and sum(wide) < n / 10
 
 
-def test_rows_that_change_when_read_again_are_shuffled(spark):
-    df = spark.range(200).select((F.rand() * 5).cast("int").alias("k"))
-    assert dedup.distinct_by_rescan(df).count() <= 5
+def test_rows_that_change_or_cost_more_when_read_again_are_shuffled(spark, tmp_path):
+    spark.range(200).write.parquet(f"{tmp_path}/rows")
+    stored_rows = spark.read.parquet(f"{tmp_path}/rows")
+    assert dedup._is_columnar_scan(stored_rows.filter("id > 3").selectExpr("id % 7 k"))
+    random = stored_rows.select((F.rand() * 5).cast("int").alias("k"))
+    stored_rows.write.json(f"{tmp_path}/text")
+    text = spark.read.schema("id long").json(f"{tmp_path}/text")
+    passed = stored_rows.mapInArrow(lambda batches: batches, "id long")
+    joined = stored_rows.join(stored_rows.withColumnRenamed("id", "k"), F.col("id") == F.col("k")).drop("k")
+    assert not any(map(dedup._is_columnar_scan, (random, text, passed, joined, spark.range(3))))
+    assert dedup.distinct_by_rescan(random).count() <= 5
+    assert all(dedup.distinct_by_rescan(df).count() == 200 for df in (text, passed, joined))
+
+
+def test_saved_clean_sales_are_not_shuffled_whole(spark, tmp_path, name, monkeypatch):
+    lines = spark.range(3000).selectExpr(
+        "id l_orderkey", "1 l_linenumber", "id % 50 l_partkey", "id % 7 l_suppkey", "1.0D + id l_quantity", "2.0D * id l_extendedprice",
+        "0.1D l_discount", "0.02D l_tax", "'R' l_returnflag", "timestamp'2024-01-05' l_shipdate",
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    sales = feeds.raw_sales(spark, str(tmp_path))
+    products = spark.createDataFrame([("sku-1", "n", "c", "s", "b", 2.0)], "sku_id string, sku_name string, category string, subcategory string, brand string, list_price double")
+    stores = spark.createDataFrame([("st-1", "c", "c", "c", 1.0, 1.0)], "store_id string, country string, city string, channel string, latitude double, longitude double")
+    shuffled = []
+    monkeypatch.setattr(dedup, "distinct_rows", lambda df: shuffled.append(df.count()) or df.dropDuplicates())
+    done = save_clean_tables(spark, products, stores, sales, CleanTables("versions.p", "versions.s", "versions.t"))
+    wanted = clean_sales(sales.filter("sku_id is not null")).count()
+    assert done.versions["versions.t"].n_rows == wanted and 0 < shuffled[0] < wanted / 10
+    assert ("sales", "any rule") in {r[:2] for r in done.rejected}
