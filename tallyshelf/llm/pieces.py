@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tallyshelf.llm.common import id_and_text, numbered, numbering, table, text_groups
+from tallyshelf.llm.common import give_back, id_and_text, numbered, numbering, table, text_groups
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -112,28 +112,44 @@ def vocabulary(path: str) -> Vocabulary:
     )
 
 
+def sorted_suffixes(codes: np.ndarray, depth: int) -> np.ndarray:
+    """Where suffixes start, ordered by `depth` codes at least, by doubling: four codes, then ranks of neighbours."""
+    n, deep = len(codes), 4
+    padded = np.concatenate([codes, np.zeros(3, np.uint16)]).astype(np.uint64)
+    key = np.zeros(n, np.uint64)
+    for k in range(4):
+        key |= padded[k : k + n] << np.uint64(CODE_BITS * (3 - k))
+    del padded
+    while True:
+        order = np.argsort(key)
+        if deep >= depth:
+            return order
+        value = key[order]
+        rank = np.empty(n, np.uint64)
+        # Rank 0 is what lies behind the last code.
+        rank[order] = np.cumsum(np.diff(value, prepend=value[:1]) != 0) + 1
+        key = rank << np.uint64(32)
+        key[: max(n - deep, 0)] |= rank[deep:]
+        deep *= 2
+
+
 def matched_edges(codes: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """All occurrences of pieces: keys (start * (depth + 1) + length), sorted, and the pieces."""
-    padded = np.concatenate([codes, np.zeros(v.depth, np.uint16)])
+    number = np.int32 if (len(codes) + 1) * (v.depth + 1) < 1 << 31 else np.int64
+    suffixes = sorted_suffixes(codes, v.depth).astype(number)
+    padded = np.concatenate([codes, np.zeros(v.depth, np.uint16)]).astype(">u2")
     windows = np.lib.stride_tricks.sliding_window_view(padded, v.depth)[: len(codes)]
-    # Big-endian words of four codes; a window is ordered by its words, the first decides.
-    words = [np.zeros(len(codes), np.uint64) for _ in range(-(-v.depth // 4))]
-    for k in range(v.depth):
-        words[k // 4] |= padded[k : k + len(codes)].astype(np.uint64) << np.uint64(CODE_BITS * (3 - k % 4))
-    suffixes = np.lexsort(words[::-1])
-    del words
-    keys = np.empty(len(codes), f"S{2 * v.depth}")
-    for at in range(0, len(codes), 1 << 18):
-        keys[at : at + (1 << 18)] = _keys(windows[suffixes[at : at + (1 << 18)]])
+    keys = windows[suffixes].view(f"S{2 * v.depth}").reshape(-1)
     begin = np.searchsorted(keys, v.low, side="left")
     end = np.searchsorted(keys, v.high, side="right")
     del keys
     counts = end - begin
     total = int(counts.sum())
-    offsets = np.repeat(begin - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts)
-    edges = suffixes[np.arange(total) + offsets] * (v.depth + 1) + np.repeat(v.lengths, counts)
+    offsets = np.repeat((begin - np.cumsum(counts) + counts).astype(number), counts)
+    edges = suffixes[np.arange(total, dtype=number) + offsets] * number(v.depth + 1)
+    edges += np.repeat(v.lengths.astype(number), counts)
     order = np.argsort(edges)
-    return edges[order], np.repeat(v.long_ids, counts)[order]
+    return edges[order], np.repeat(v.long_ids.astype(np.int32), counts)[order]
 
 
 def encode_units(units: list[str], v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
@@ -145,9 +161,10 @@ def encode_units(units: list[str], v: Vocabulary) -> tuple[np.ndarray, np.ndarra
     codes[firsts[1:] - 1] = 0
     edges, edge_ids = matched_edges(codes, v)
 
-    owner = np.repeat(np.arange(len(units)), sizes)
-    start = np.arange(len(owner)) + owner
-    length = np.ones(len(owner), np.int64)
+    number = edges.dtype.type
+    owner = np.repeat(np.arange(len(units), dtype=number), sizes)
+    start = np.arange(len(owner), dtype=number) + owner
+    length = np.ones(len(owner), number)
     piece = v.single[codes[start]]
 
     def joined(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -157,7 +174,7 @@ def encode_units(units: list[str], v: Vocabulary) -> tuple[np.ndarray, np.ndarra
         right = np.where(ok, right, at)
         span = length[at] + length[right]
         ok &= (owner[at] == owner[right]) & (span <= v.depth)
-        key = start[at] * (v.depth + 1) + span
+        key = start[at] * number(v.depth + 1) + span
         place = np.minimum(np.searchsorted(edges, key), max(len(edges) - 1, 0))
         ok &= (edges[place] == key) if len(edges) else False
         found = np.where(ok, edge_ids[place] if len(edges) else -1, -1)
@@ -243,6 +260,8 @@ def _encoder(path: str):
                 pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(np.concatenate(rows), pa.int32())
             )
             doc_id = group["doc_id"].combine_chunks()
+            del group, texts, rows
+            give_back()
             yield pa.RecordBatch.from_arrays([doc_id, pa.array(sizes, pa.int64()), ids, pa.array(same)], schema=TOKENS)
 
     return run

@@ -558,3 +558,19 @@ def test_pair_probabilities_are_those_of_the_restaurants(spark):
             shares.append((max(pair[u, w] - d * t, 0) + (1 + d * at[of[u]]) * p) / (1 + count[u]))
         logs.append(shares)
     assert found.score == pytest.approx(np.log10(np.mean(logs, axis=0)).sum(), abs=1e-9)
+
+
+def test_suffixes_are_sorted_by_doubling_as_by_their_codes():
+    codes = np.random.default_rng(5).integers(0, 4, 3000).astype(np.uint16)
+    codes[500:900] = codes[100:500]
+    padded = [*codes.tolist(), *[0] * 16]
+    order = pieces.sorted_suffixes(codes, 16).tolist()
+    windows = [padded[k : k + 16] for k in order]
+    assert sorted(order) == list(range(3000)) and windows == sorted(windows)
+    assert pieces.sorted_suffixes(codes[:0], 16).tolist() == []
+
+
+def test_edges_of_a_group_take_four_bytes():
+    v = pieces.vocabulary(pieces.VOCABULARY)
+    edges, found = pieces.matched_edges(v.code_of[[ord(c) for c in "the other"]], v)
+    assert len(edges) and edges.dtype == found.dtype == np.int32
