@@ -306,24 +306,28 @@ def removed_bytes(chunk: Chunk, got: dict[int, dict[int, bytes]], threshold: int
     segments = Segments(chunk, got.get(0, {}), threshold, anchor, buckets)
     answers = got.get(1, {})
     windows = np.array([len(c) for c in segments.contents], np.int64) - threshold + 1
-    least = np.empty(len(windows), object)
+    # The answers stay in the order in which they come, and each content knows where its own begin.
+    parts, seen = [], []
     for bucket, some in segments.by_bucket():
-        parts = np.split(unpack(answers[bucket])[0], np.cumsum(windows[some])[:-1])
-        for k, part in zip(some.tolist(), parts, strict=True):
-            least[k] = part
+        parts.append(unpack(answers[bucket])[0])
+        seen.append(some)
     edge = np.zeros(len(chunk.data) + 1, np.int32)
     if len(windows):
-        begin = np.cumsum(windows) - windows
-        flat = np.concatenate(least.tolist())
-        for at in range(0, len(segments.owner), WINDOWS_AT_ONCE >> 4):
-            some = slice(at, at + (WINDOWS_AT_ONCE >> 4))
+        come = np.concatenate(seen)
+        begin = np.empty(len(windows), np.int64)
+        begin[come] = np.cumsum(windows[come]) - windows[come]
+        flat = np.concatenate(parts)
+        del parts, seen, come
+        for at in range(0, len(segments.owner), WINDOWS_AT_ONCE >> 6):
+            some = slice(at, at + (WINDOWS_AT_ONCE >> 6))
             count, owner = segments.count[some], segments.owner[some]
             step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
             hit = flat[np.repeat(begin[owner], count) + step] < np.repeat(chunk.ids[segments.doc[some]], count)
             places = (np.repeat(segments.first[some], count) + step)[hit]
-            np.add.at(edge, places, 1)
-            np.add.at(edge, places + threshold, -1)
-    return np.cumsum(edge[:-1]) > 0
+            # A window is in one run only, so no place comes twice.
+            edge[places] += 1
+            edge[places + threshold] -= 1
+    return np.cumsum(edge[:-1], dtype=np.int32) > 0
 
 
 def without(data: bytes, turns: list[int]) -> str:

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 
 import duckdb
+import numpy as np
+import zstandard
+
+from tallyshelf.llm.chunks import Chunk
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
@@ -47,3 +52,14 @@ def duckdb_result(sf_dir: str, sql: str) -> Counter:
     cursor = con.execute(sql)
     names = [d[0] for d in cursor.description]
     return Counter(tuple(sorted(zip(names, row, strict=True))) for row in cursor.fetchall())
+
+
+def chunk_of(texts, flags=None):
+    """A chunk of texts in bytes, with ids from 0."""
+    n = len(texts)
+    ends = np.cumsum([len(t) for t in texts], dtype=np.int64).tobytes()
+    flags = np.array(flags or [0] * n, np.uint8).tobytes()
+    carried = json.dumps([""] * n).encode()
+    sizes = n.to_bytes(8, "little"), len(carried).to_bytes(8, "little")
+    head = [sizes[0], np.arange(n, dtype=np.int64).tobytes(), ends, flags, sizes[1], carried]
+    return Chunk(zstandard.ZstdCompressor().compress(b"".join([*head, *texts])))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyshelf.llm import common, decontaminate, order_minhash, repeats
 from tallyshelf.llm.components import components
-from tests.llm.cases import DOCS, SF_DIR, docs_frame
+from tests.llm.cases import DOCS, SF_DIR, chunk_of, docs_frame
 
 
 def edit_distance(a, b):
@@ -315,3 +316,19 @@ def test_components_over_many_parts(spark, monkeypatch):
     links = [(f"a{k:03}", f"a{k + 1:03}") for k in range(100)]
     found = {r.node: r.root for r in components(spark.createDataFrame(links, "a string, b string")).collect()}
     assert set(found.values()) == {"a000"} and len(found) == 101
+
+
+def test_the_mask_of_removed_bytes_is_small_beside_its_chunk():
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.integers(97, 123, 20_000, dtype=np.uint8)) for _ in range(50)]
+    chunk = chunk_of([*texts, *texts])
+    keys = dict(repeats._ask_anchors(50, 25, 1)(chunk))
+    bits = {0: repeats._shared_anchors([keys[0]])[0]}
+    asked = repeats._ask_windows(50, 25, 1)(0, chunk, {0: bits})["data"].to_pylist()
+    got = {0: bits, 1: {0: repeats._least_ids(50)(asked)[0]}}
+    tracemalloc.start()
+    gone = repeats.removed_bytes(chunk, got, 50, 25, 1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert not gone[: len(gone) // 2].any() and gone[len(gone) // 2 :].all()
+    assert peak < 30 * len(gone)
