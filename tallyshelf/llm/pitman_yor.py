@@ -102,17 +102,24 @@ class Tokens:
             words = text.lower().split()
             rows += [numbered(numbers, words), end]
         self.sizes = np.array([len(r) + 1 for r in rows[::2]], np.int64)
-        self.words = np.concatenate(rows) if rows else np.empty(0, np.int64)
+        words = np.concatenate(rows) if rows else np.empty(0, np.int64)
         del numbers[b" "]
+        del rows
         self.hashes = np.concatenate([[END], text_hashes(list(numbers))])
-        del numbers, rows
-        self.before = np.concatenate([[0], self.words[:-1]]).astype(np.int64)
-        self.learnt = np.repeat(chunk.flags > 0, self.sizes)
-        codes = self.before * len(self.hashes) + self.words
-        self.codes, self.pair = np.unique(codes, return_inverse=True)
-        self.pair_counts = np.bincount(self.pair[self.learnt], minlength=len(self.codes))
-        self.word_counts = np.bincount(self.words[self.learnt], minlength=len(self.hashes))
-        self.left, self.right = np.divmod(self.codes, len(self.hashes))
+        del numbers
+        learnt = np.repeat(chunk.flags > 0, self.sizes)
+        self.word_counts = np.bincount(words[learnt], minlength=len(self.hashes))
+        # Numbers of tokens are kept in four bytes where they fit, as they are the longest arrays of all.
+        number = np.int32 if len(words) < 1 << 31 else np.int64
+        self.words = words.astype(number)
+        codes = words
+        codes[1:] += words[:-1] * len(self.hashes)
+        del words
+        codes, pair = np.unique(codes, return_inverse=True)
+        self.pair = pair.astype(number)
+        del pair
+        self.pair_counts = np.bincount(self.pair[learnt], minlength=len(codes))
+        self.left, self.right = np.divmod(codes, len(self.hashes))
         self.pair_keys = pair_key(self.hashes[self.left], self.hashes[self.right])
 
 
@@ -415,7 +422,7 @@ def _scorer(model: Model, buckets: int, sweeps: int, burn_in: int):
         c = Counted(t, got[0], buckets)
         columns = state_columns(t.hashes, got[1], buckets, sweeps) if 1 in got else np.zeros((3 * sweeps, len(t.hashes)), np.int64)
         context = c.word[t.left]
-        mean = np.zeros(len(t.codes))
+        mean = np.zeros(len(t.pair_keys))
         for sweep, tables in enumerate(model.tables(t.pair_keys, c.pair, t.left, t.right, columns, sweeps)):
             if sweep < burn_in:
                 continue

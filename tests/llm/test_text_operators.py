@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyshelf.llm import language, licences, main_text, pieces, pitman_yor, quality, token_counts
-from tests.llm.cases import DOCS, SF_DIR, docs_frame, duckdb_result, rows_of
+from tests.llm.cases import DOCS, SF_DIR, chunk_of, docs_frame, duckdb_result, rows_of
 
 TEXTS = [t or "" for _, t in DOCS]
 
@@ -574,3 +574,12 @@ def test_edges_of_a_group_take_four_bytes():
     v = pieces.vocabulary(pieces.VOCABULARY)
     edges, found = pieces.matched_edges(v.code_of[[ord(c) for c in "the other"]], v)
     assert len(edges) and edges.dtype == found.dtype == np.int32
+
+
+def test_tokens_of_a_chunk_take_four_bytes():
+    texts = [b"a b a", b"", b"b a"]
+    tokens = pitman_yor.Tokens(chunk_of(texts, [1, 0, 1]))
+    assert tokens.words.dtype == tokens.pair.dtype == np.int32
+    assert tokens.words.tolist() == [1, 2, 1, 0, 0, 2, 1, 0] and tokens.word_counts.tolist() == [2, 3, 2]
+    pairs = {(a, b): n for a, b, n in zip(tokens.left.tolist(), tokens.right.tolist(), tokens.pair_counts.tolist(), strict=True)}
+    assert pairs == {(0, 1): 1, (1, 2): 1, (2, 1): 2, (1, 0): 2, (0, 0): 0, (0, 2): 1}
