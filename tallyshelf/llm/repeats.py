@@ -8,8 +8,8 @@ The first digit is an anchor: the least hash among the runs of ANCHOR bytes in t
 equal anchors, and neighbouring windows mostly share one, so it is cheap to exchange: chunks of documents ask for
 each of their anchors whether other documents have it. Windows whose anchor no other document has are groups of
 one. The others go to the bucket of their anchor, as segments of neighbouring windows, each content once from
-each chunk with the least id there; the bucket orders them by the digits that are left, eight bytes in a pass,
-and answers with the least id of each window in the whole corpus. The chunk removes the bytes of each window
+each chunk with the least id there; the bucket makes equal contents one, orders the windows of anchors that have
+several contents by the digits that are left, eight bytes in a pass, and answers with the least id of each window in the whole corpus. The chunk removes the bytes of each window
 that starts in a document with a greater id.
 
 Defined cases: null and empty text has no bytes; a text shorter than the threshold keeps all; matches never
@@ -40,7 +40,18 @@ from tallyshelf.llm.chunks import (
     to_chunks,
     with_answers,
 )
-from tallyshelf.llm.common import mix, pack, pack_sorted, release, stored, table, unpack, unpack_sorted
+from tallyshelf.llm.common import (
+    mix,
+    numbered,
+    numbering,
+    pack,
+    pack_sorted,
+    release,
+    stored,
+    table,
+    unpack,
+    unpack_sorted,
+)
 
 THRESHOLD = 50
 CHUNK_BYTES = 8 << 20
@@ -258,31 +269,51 @@ def _least_ids(threshold: int):
             sizes.append(c.astype(np.int64))
             segments.append(len(a))
             bodies.append(zstandard.ZstdDecompressor().decompress(block[8 + n :]))
-        data = np.frombuffer(b"".join(bodies), np.uint8)
+        whole = b"".join(bodies)
         del bodies
         anchor, least, size = np.concatenate(anchor), np.concatenate(least), np.concatenate(sizes)
-        count = size - threshold + 1
         begin = np.cumsum(size) - size
+        # What several chunks have alike is one content from here on, with the least id of all.
+        numbers = numbering()
+        content = numbered(numbers, [whole[a:b] for a, b in zip(begin.tolist(), (begin + size).tolist(), strict=True)])
+        n = len(numbers)
+        del numbers
+        first = np.empty(n, np.int64)
+        first[content[::-1]] = np.arange(len(content))[::-1]
+        low = np.full(n, NO_ID, np.int64)
+        np.minimum.at(low, content, least)
+        count = size[first] - threshold + 1
         shift = np.cumsum(count) - count
-        owner = np.repeat(np.arange(len(size)), count)
-        out = least[owner]
-        places = np.arange(len(owner)) - shift[owner] + begin[owner]
+        out = np.repeat(low, count)
+        # Windows of an anchor with one content are equal to none of another content.
+        order = np.argsort(anchor[first], kind="stable")
+        key = anchor[first[order]]
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        group = np.cumsum(new) - 1
+        several = np.bincount(group)[group] > 1
+        order, new = order[several], new[several]
         # Whole groups of anchors at a time, so that memory follows the largest group and not the bucket.
-        by_anchor = np.argsort(anchor[owner], kind="stable")
-        keys = anchor[owner[by_anchor]]
-        edges = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]])) if len(keys) else np.zeros(1, int)
+        data = np.frombuffer(whole, np.uint8)
+        edges = np.append(np.flatnonzero(new), len(order))
+        ends = np.append(0, np.cumsum(count[order]))[edges]
         at = 0
         while at < len(edges) - 1:
-            to = max(at + 1, int(np.searchsorted(edges, edges[at] + WINDOWS_AT_ONCE, side="right")) - 1)
-            some = by_anchor[edges[at] : edges[to]]
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + WINDOWS_AT_ONCE, side="right")) - 1)
+            some = order[edges[at] : edges[to]]
             at = to
-            alive, group = radix_groups(anchor[owner[some]], data, places[some], threshold)
+            owner = np.repeat(some, count[some])
+            step = np.arange(len(owner)) - np.repeat(np.cumsum(count[some]) - count[some], count[some])
+            alive, group = radix_groups(anchor[first[owner]], data, begin[first[owner]] + step, threshold)
             if len(alive):
-                ids = out[some[alive]]
+                places = (shift[owner] + step)[alive]
                 heads = np.concatenate([[True], group[1:] != group[:-1]])
-                out[some[alive]] = np.minimum.reduceat(ids, np.flatnonzero(heads))[np.cumsum(heads) - 1]
-        ends = np.cumsum([int(c.sum()) for c in np.split(count, np.cumsum(segments)[:-1])])
-        return [pack(part) for part in np.split(out, ends[:-1])]
+                out[places] = np.minimum.reduceat(out[places], np.flatnonzero(heads))[np.cumsum(heads) - 1]
+        answers = []
+        for mine in np.split(content, np.cumsum(segments)[:-1]):
+            n_windows = count[mine]
+            step = np.arange(int(n_windows.sum())) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
+            answers.append(pack(out[np.repeat(shift[mine], n_windows) + step]))
+        return answers
 
     return merge
 

@@ -332,3 +332,18 @@ def test_the_mask_of_removed_bytes_is_small_beside_its_chunk():
     tracemalloc.stop()
     assert not gone[: len(gone) // 2].any() and gone[len(gone) // 2 :].all()
     assert peak < 30 * len(gone)
+
+
+def test_what_many_chunks_have_alike_is_ordered_once(monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = [bytes(rng.integers(97, 123, 300, dtype=np.uint8)) for _ in range(4)]
+    chunks = [chunk_of([*texts, bytes([65 + k]) * 60]) for k in range(6)]
+    keys = [dict(repeats._ask_anchors(50, 25, 1)(c))[0] for c in chunks]
+    bits = repeats._shared_anchors(keys)
+    asked = [repeats._ask_windows(50, 25, 1)(k, c, {0: {0: b}})["data"][0].as_py() for k, (c, b) in enumerate(zip(chunks, bits, strict=True))]
+    ordered = []
+    passes = repeats.radix_groups
+    monkeypatch.setattr(repeats, "radix_groups", lambda first, *rest: ordered.append(len(first)) or passes(first, *rest))
+    answers = [common.unpack(a)[0] for a in repeats._least_ids(50)(asked)]
+    assert sum(ordered) < len(answers[0])
+    assert all(len(a) == 4 * 251 and (a == answers[0]).all() for a in answers)
