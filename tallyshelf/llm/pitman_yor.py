@@ -13,9 +13,9 @@ parent as they stand after the last sweep. Beyond ONE_BY_ONE customers they sit
 those seated, whose odds are the first one's. Sweeps start with one table for each word, and after BURN_IN of
 them the predictive probabilities of each are averaged. Discounts are estimated from the counts of ones and twos.
 
-In Spark: chunks of documents ask buckets for the training counts of their words and word pairs; one of the
-chunks that have learnt a pair owns it. Only owned pairs with two customers or more are seated anew (one customer has one
-table), in blocks of their own, which ask the buckets of words for T and the parent's state and send back how
+In Spark: chunks of documents, stored as numbers of their words, ask buckets for the training counts of their words
+and word pairs; one of the chunks that have learnt a pair owns it. Only owned pairs with two customers or more are
+seated anew (one customer has one table), in blocks of their own, which ask the buckets of words for T and the parent's state and send back how
 many tables were added. Random numbers are hashes of pair, sweep and customer, so every chunk finds a pair's
 tables again without being told, and a task that is run again gives the same. The number of jobs depends on the
 number of sweeps alone, and all that is shuffled grows with the corpus.
@@ -28,7 +28,7 @@ other columns are not read; very long texts are scored whole, as a chunk of thei
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -87,36 +87,74 @@ def text_hashes(words: list[bytes]) -> np.ndarray:
     return mix(np.add.reduceat(mix(joined + (place << np.uint64(8))), first))
 
 
+def numbered_words(texts: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of each text; word numbers in a row, each text's end included; and hashes of the distinct words."""
+    numbers = numbering()
+    numbers[b" "]
+    rows = []
+    end = np.zeros(1, np.int64)
+    for text in texts:
+        words = text.lower().split()
+        rows += [numbered(numbers, words), end]
+    sizes = np.array([len(r) + 1 for r in rows[::2]], np.int64)
+    words = np.concatenate(rows) if rows else np.empty(0, np.int64)
+    del numbers[b" "]
+    del rows
+    # Numbers of tokens are kept in four bytes where they fit, as they are the longest arrays of all.
+    number = np.int32 if len(words) < 1 << 31 else np.int64
+    return sizes, words.astype(number), np.concatenate([[END], text_hashes(list(numbers))])
+
+
+def packed_words(texts: list[bytes]) -> bytes:
+    """Sizes, words and hashes of `numbered_words`; a word that is first seen is 0 and others their number plus 1."""
+    sizes, words, hashes = numbered_words(texts)
+    new = np.diff(np.maximum.accumulate(words), prepend=0) > 0
+    return pack(sizes, np.where(new, 0, words + 1).astype(words.dtype), hashes)
+
+
+def words_of_texts(chunk: Chunk) -> tuple[np.ndarray, ...]:
+    return numbered_words(chunk.texts())
+
+
+def stored_words(chunk: Chunk) -> tuple[np.ndarray, ...]:
+    """The words of a chunk that was stored by `packed_words`."""
+    sizes, words, hashes = unpack(chunk.data)
+    new = words == 0
+    return sizes, np.where(new, np.cumsum(new, dtype=words.dtype), words - 1), hashes
+
+
+def distinct_codes(codes: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct codes, all below `bound`, and each code's place among them."""
+    bits = len(codes).bit_length()
+    if bound.bit_length() + bits > 63:
+        return np.unique(codes, return_inverse=True)
+    # Codes are sorted with their places in their low bits, so that nothing is looked up in their order.
+    both = codes << bits
+    both |= np.arange(len(codes))
+    both.sort()
+    at = both & ((1 << bits) - 1)
+    both >>= bits
+    new = np.ones(len(both), bool)
+    new[1:] = both[1:] != both[:-1]
+    place = np.empty(len(both), np.int32 if len(codes) < 1 << 31 else np.int64)
+    place[at] = np.cumsum(new, dtype=place.dtype) - 1
+    return both[new], place
+
+
 class Tokens:
     """A chunk's tokens: word numbers in a row, each text's end included, its distinct words and word pairs.
 
     Number 0 is the end of a text, which is also what the first token of a text follows.
     """
 
-    def __init__(self, chunk: Chunk) -> None:
-        numbers = numbering()
-        numbers[b" "]
-        rows = []
-        end = np.zeros(1, np.int64)
-        for text in chunk.texts():
-            words = text.lower().split()
-            rows += [numbered(numbers, words), end]
-        self.sizes = np.array([len(r) + 1 for r in rows[::2]], np.int64)
-        words = np.concatenate(rows) if rows else np.empty(0, np.int64)
-        del numbers[b" "]
-        del rows
-        self.hashes = np.concatenate([[END], text_hashes(list(numbers))])
-        del numbers
+    def __init__(self, chunk: Chunk, read: Callable[[Chunk], tuple[np.ndarray, ...]] = words_of_texts) -> None:
+        self.sizes, self.words, self.hashes = read(chunk)
         learnt = np.repeat(chunk.flags > 0, self.sizes)
-        self.word_counts = np.bincount(words[learnt], minlength=len(self.hashes))
-        # Numbers of tokens are kept in four bytes where they fit, as they are the longest arrays of all.
-        number = np.int32 if len(words) < 1 << 31 else np.int64
-        self.words = words.astype(number)
-        codes = words
-        codes[1:] += words[:-1] * len(self.hashes)
-        del words
-        codes, pair = np.unique(codes, return_inverse=True)
-        self.pair = pair.astype(number)
+        self.word_counts = np.bincount(self.words[learnt], minlength=len(self.hashes))
+        codes = self.words.astype(np.int64)
+        codes[1:] += self.words[:-1] * np.int64(len(self.hashes))
+        codes, pair = distinct_codes(codes, len(self.hashes) ** 2)
+        self.pair = pair.astype(self.words.dtype, copy=False)
         del pair
         self.pair_counts = np.bincount(self.pair[learnt], minlength=len(codes))
         self.left, self.right = np.divmod(codes, len(self.hashes))
@@ -147,7 +185,7 @@ def _unique_keys(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...
 
 def _ask_counts(buckets: int):
     def question(chunk: Chunk) -> Iterator[tuple[int, bytes]]:
-        t = Tokens(chunk)
+        t = Tokens(chunk, stored_words)
         for bucket, some in in_buckets(t.hashes, 64, buckets):
             yield bucket, pack(pack_sorted(t.hashes[some]), t.word_counts[some].astype(np.uint32))
         # Pairs whose hashes are equal are one to the bucket, which adds them up.
@@ -204,7 +242,7 @@ def _first_seating(buckets: int):
     with more customers, in a block of their own; what the chunk will ask words' buckets; and sums for the driver."""
 
     def use(number: int, chunk: Chunk, got: dict[int, dict[int, bytes]]) -> pa.Table:
-        t = Tokens(chunk)
+        t = Tokens(chunk, stored_words)
         c = Counted(t, got[0], buckets)
         own = np.flatnonzero(c.own)
         tables = np.bincount(t.left[own], minlength=len(t.hashes))
@@ -418,7 +456,7 @@ SCORES_DDL = (
 
 def _scorer(model: Model, buckets: int, sweeps: int, burn_in: int):
     def use(number: int, chunk: Chunk, got: dict[int, dict[int, bytes]]) -> pa.Table:
-        t = Tokens(chunk)
+        t = Tokens(chunk, stored_words)
         c = Counted(t, got[0], buckets)
         columns = state_columns(t.hashes, got[1], buckets, sweeps) if 1 in got else np.zeros((3 * sweeps, len(t.hashes)), np.int64)
         context = c.word[t.left]
@@ -468,7 +506,8 @@ def score_texts(
     spark = docs.sparkSession
     learn = F.coalesce(split_of("doc_id", 7), F.lit(-1)) != 2 if learn is None else learn
     rows = id_and_text(docs)
-    chunks = to_chunks(rows, learn.cast("int"), chunk_bytes)
+    # Texts are split into words once, and stored as their numbers.
+    chunks = to_chunks(rows, learn.cast("int"), chunk_bytes, body=packed_words)
     buckets = bucket_count(chunks)
     counts = stored(answer(ask(chunks, _ask_counts(buckets)), _add_up, kind=0), "counts")
     release(spark)
