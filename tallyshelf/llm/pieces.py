@@ -1,8 +1,8 @@
 """Encoding with a merge-ranked piece vocabulary, by suffix-array matching, and decoding.
 
 Rows are taken in groups. The distinct units of a group (a run of space marks and what follows it; no piece
-crosses a unit's edge, which is checked against the vocabulary) are concatenated and indexed by a suffix array
-that is sorted as deep as the longest piece. Every piece is searched in it twice by bisection, which gives its
+crosses a unit's edge, which is checked against the vocabulary) are concatenated, some at a time, and indexed by a
+suffix array that is sorted as deep as the longest piece. Every piece is searched in it twice by bisection, which gives its
 range of occurrences. The occurrences are edges from a start to an end; they are sorted by position, and
 relaxed: in rounds, each unit joins the two neighbouring symbols whose edge has the best score, the leftmost
 of equals, until no edge joins two symbols. That is the order in which the vocabulary's own encoder joins
@@ -20,6 +20,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,8 @@ from tallyshelf.llm.common import give_back, id_and_text, numbered, numbering, t
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-GROUP_BYTES = 6 << 20
+GROUP_BYTES = 2 << 20
+UNIT_CHARACTERS = 1 << 18
 CODE_BITS = 16
 
 TOKENS = pa.schema([
@@ -231,8 +233,15 @@ def encode_texts(texts: list[str], v: Vocabulary) -> list[np.ndarray]:
     ]
     if not numbers:
         return [np.empty(0, np.int32) for _ in texts]
-    ids, counts = encode_units(list(numbers), v)
-    ids = ids.astype(np.int32)
+    units = list(numbers)
+    del numbers
+    # Units are encoded on their own, so some at a time: their arrays take many times the space of the texts.
+    sizes = np.array([len(u) for u in units])
+    cuts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // UNIT_CHARACTERS, prepend=-1)).tolist()
+    parts = [encode_units(units[a:b], v) for a, b in pairwise([*cuts, len(units)])]
+    del units
+    ids = np.concatenate([part.astype(np.int32) for part, _ in parts])
+    counts = np.concatenate([n for _, n in parts])
     ends = np.cumsum(counts)
     out = []
     for row in rows:
@@ -251,6 +260,8 @@ def decode_ids(ids: np.ndarray, v: Vocabulary) -> str:
 def _encoder(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
+        # The worker may have done other work before, and what it freed then is not given back by itself.
+        give_back()
         for group in text_groups(batches, GROUP_BYTES):
             texts = group["text"].to_pylist()
             rows = encode_texts(texts, v)

@@ -605,3 +605,25 @@ def test_distinct_codes_are_those_of_numpy():
     for given, bound in ((codes, 50), (codes + (1 << 60), 1 << 61), (codes[:0], 1)):
         for found, wanted in zip(pitman_yor.distinct_codes(given, bound), np.unique(given, return_inverse=True), strict=True):
             assert found.tolist() == wanted.tolist()
+
+
+def test_memory_of_encoding_follows_its_groups():
+    rng = np.random.default_rng(6)
+    letters = rng.integers(97, 123, (4000, 1000)).astype(np.uint8)
+    letters[:, 7::8] = 32
+    texts = [bytes(row).decode() for row in letters]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    pieces.vocabulary(pieces.VOCABULARY)
+    tracemalloc.start()
+    rows = sum(out.num_rows for out in pieces._encoder(pieces.VOCABULARY)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == len(texts) and peak < 30 * letters.size
+
+
+def test_units_in_several_parts_give_the_same(monkeypatch):
+    v = pieces.vocabulary(pieces.VOCABULARY)
+    texts = ["one two  three\n", "", "x" * 90, "é ünïcödé two \u4e2d three"]
+    whole = [ids.tolist() for ids in pieces.encode_texts(texts, v)]
+    monkeypatch.setattr(pieces, "UNIT_CHARACTERS", 8)
+    assert [ids.tolist() for ids in pieces.encode_texts(texts, v)] == whole
