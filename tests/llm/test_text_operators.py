@@ -344,6 +344,75 @@ def test_models_in_several_passes_give_the_same(spark):
     assert one == two
 
 
+def test_sequences_of_whole_characters_by_hand(spark):
+    """Perplexities against a plain computation over dictionaries; what one text alone has is no evidence for it."""
+    texts = ["абаб абба 1221", "абаб абба 1212", "абаб абба 1221", "Абаб, абб", "zzzzzz", ""]
+    docs = spark.createDataFrame([(k, "ru", t) for k, t in enumerate(texts)], "doc_id long, lang string, text string")
+    symbols = quality.arrays_of(quality.model_table(docs).toArrow())["ru"]
+    of, owners = {5: Counter()}, {}
+    for text in texts:
+        row = ["\0"] * 4 + list(text)
+        for k in range(len(text)):
+            of[5][tuple(row[k : k + 5])] += 1
+            for a in range(2):
+                owners.setdefault(tuple(row[k + a : k + 5]), set()).add(text)
+            for a in range(2):
+                owners.setdefault((a, *row[k + a : k + 4]), set()).add(text)
+    of[4] = Counter(g[1:] for g in of[5])
+    chars = Counter("".join(texts))
+    fold = lambda c: 0 if c == "\0" else int(quality.FOLD[ord(c)])
+
+    def p(gram):
+        table = of[len(gram)]
+        n = [sum(v == k for v in table.values()) for k in range(5)]
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] + 2 * n[2] else 0.5
+        d = [0] + [min(max(k - (k + 1) * y * n[k + 1] / n[k], 0.1), k - 0.1) if n[k] else k / 2 for k in (1, 2, 3)]
+        some = {g: v for g, v in table.items() if g[:-1] == gram[:-1]}
+        if len(gram) > 4:
+            lower = p(gram[1:])
+        else:
+            code = sum(fold(c) << 6 * (3 - k) for k, c in enumerate(gram))
+            share = chars[gram[-1]] / sum(v for c, v in chars.items() if fold(c) == fold(gram[-1]))
+            lower = float(np.exp(symbols.score(np.array([code], np.uint32)))[0]) * share
+        rest = sum(d[min(v, 3)] for v in some.values()) / sum(some.values()) * lower
+        if len(owners[gram]) > 1:
+            return (table[gram] - d[min(table[gram], 3)]) / sum(some.values()) + rest
+        return rest if len(owners[(5 - len(gram), *gram[:-1])]) > 1 else lower
+
+    found = {r.doc_id: r.log_perplexity for r in quality.measure(docs).collect()}
+    for k, text in enumerate(texts[:-1]):
+        row = ["\0"] * 4 + list(text)
+        wanted = -sum(math.log(p(tuple(row[j : j + 5]))) for j in range(len(text))) / len(text)
+        assert math.isclose(found[k], wanted, rel_tol=1e-5)
+    assert found[5] is None
+
+
+def test_no_character_is_taken_for_another(spark):
+    """Characters of one class, in the places of others: digits, capitals and letters beyond Latin."""
+    usual, odd = "Улица Мира, 1221. Abba Hall ", "Улица Лима, 9889. Otto Nall "
+    assert [int(quality.FOLD[ord(c)]) for c in "12A"] == [int(quality.FOLD[ord(c)]) for c in "98O"]
+    rows = [(k, "ru", f"{usual * 3}{k % 7}") for k in range(40)] + [(100 + k, "ru", f"{odd} {usual}{k}") for k in range(2)]
+    rows.append((200, "ru", "Улица Мира, 8778. Abba Hall " * 2 + "Улица Мира, 1221."))
+    rows.append((201, "ru", "Улица Мира, 1221. Abba Hall " * 2 + "Улица Мира, 1221."))
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    found = {r.doc_id: r.log_perplexity for r in quality.measure(docs).collect()}
+    assert found[200] > found[201] + 0.1 and found[100] > found[201] + 0.1
+
+
+def test_null_ids_the_largest_id_and_copies_are_judged_on_their_own(spark):
+    text = "One text of more than ten words that some rows have and others have not."
+    rows = [(None, "en", text), (2**63 - 1, "en", text), (1, "en", text), (1, "en", text), (None, None, None), (5, "a\nb", "x y")]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(3)
+    found = Counter((r.doc_id, r.lang, r.n_scored, r.log_perplexity is None) for r in quality.measure(docs).collect())
+    assert found == Counter({
+        (None, "en", len(text), False): 1,
+        (2**63 - 1, "en", len(text), False): 1,
+        (1, "en", len(text), False): 2,
+        (None, "und", 0, True): 1,
+        (5, "a\nb", 3, False): 1,
+    })
+
+
 # 7, language
 
 
