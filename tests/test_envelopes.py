@@ -1,15 +1,21 @@
 from __future__ import annotations
 
 import json
+import subprocess
+import sys
+from contextlib import contextmanager
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyshelf.functions.envelope import batch_file, batch_key
+from tallyshelf.operators import envelopes as envelopes_module
 from tallyshelf.operators.envelopes import (
     number_rows,
     pack_envelopes,
+    pack_messages,
     parse_messages,
     to_messages,
     unpack_envelopes,
@@ -162,3 +168,48 @@ def test_envelopes_of_files_that_are_read_in_pieces(spark):
     assert {len(e.rows) for e in envelopes[:-1]} == {70}
     assert [row.id for e in envelopes for row in e.rows] == wanted
     assert all(row.k == str(row.id) * 3 for e in envelopes for row in e.rows)
+
+
+@contextmanager
+def small_tasks(spark):
+    """Every stored file is read by a task of its own."""
+    before = {n: spark.conf.get(n) for n in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for name in before:
+            spark.conf.set(name, "3000b")
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("few", [1_000_000, 0])
+def test_messages_are_the_text_of_the_envelopes(spark, monkeypatch, few):
+    """With and without envelopes that tasks hold whole; nulls, quotes and letters beyond ASCII stay what they are."""
+    monkeypatch.setattr(envelopes_module, "BROADCAST_ROWS", few)
+    rows = spark.range(1234, numPartitions=3).select(
+        F.col("id").cast("string").alias("a"),
+        F.when(F.col("id") % 3 == 0, F.concat(F.lit('é "x", {}],\n\\ 𝄞 '), F.col("id").cast("string"))).alias("b"),
+        F.lit(None).cast("string").alias("c"),
+    )
+    with small_tasks(spark):
+        wanted = to_messages(pack_envelopes(rows, scratch_path(spark, "t"), 100)).collect()
+        found = pack_messages(rows, scratch_path(spark, "t"), 100)
+        found = found.select(batch_key().alias("key"), "value", "n_rows").collect()
+    assert sorted((r.key, r.value) for r in found) == sorted((r.key, r.value) for r in wanted)
+    assert sorted(r.n_rows for r in found) == [34] + [100] * 12
+    assert pack_messages(rows.limit(0), scratch_path(spark, "t"), 100).collect() == []
+
+
+@pytest.mark.parametrize("as_text", [False, True])
+def test_tasks_pack_without_this_package(as_text):
+    """A process that cannot import it gets along with what is sent to it."""
+    run = (
+        "import pickle, sys\nimport pyarrow as pa\n"
+        "pack = pickle.loads(sys.stdin.buffer.read())\n"
+        "rows = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array(['a,', 'b,', 'c,'])], names=['number', 'row'])\n"
+        "print(sum(b.num_rows for b in pack(iter([rows]))))\n"
+    )
+    sent = cloudpickle.dumps(envelopes_module._packer(2, as_text))
+    done = subprocess.run([sys.executable, "-I", "-c", run], input=sent, capture_output=True, cwd="/", timeout=60)
+    assert done.stdout.strip() == b"2", done.stderr.decode()
