@@ -135,3 +135,35 @@ def test_a_table_of_versions_is_refused(spark, tables):
     spark.sql("create view refresh.o as select 1 a")
     with pytest.raises(ValueError, match="as a whole"):
         refresh_overview(spark, tables.clean, "refresh.o")
+
+
+def test_sales_are_dealt_out_by_date_before_they_are_widened(spark, tables):
+    """Unless a join shuffles them again; the rows are the same."""
+    tables.save()
+    frames = [spark.table(n) for n in (tables.clean.sales, tables.clean.products, tables.clean.stores)]
+
+    def dealt(overview):
+        """Columns that go through the exchange by date."""
+        plan, found = overview._jdf.queryExecution().sparkPlan(), []
+
+        def walk(node):
+            if "REBALANCE" in node.simpleString(100) and node.nodeName() == "Exchange":
+                found.append({node.output().apply(k).name() for k in range(node.output().size())})
+            for k in range(node.children().size()):
+                walk(node.children().apply(k))
+
+        walk(plan)
+        return found
+
+    wanted = Counter(map(tuple, retail_sales_overview(*frames).collect()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit, widened in ((1 << 20, False), (0, True)):
+            if widened:
+                spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+            overview = incremental._by_date(*frames, limit)
+            columns = dealt(overview)
+            assert len(columns) == 1 and ("season" in columns[0]) == widened and ("brand" in columns[0]) == widened
+            assert Counter(map(tuple, overview.collect())) == wanted
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
